@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gaugeflow import schemas
 from gaugeflow.functions.clock import utc_day
 from gaugeflow.functions.once import evaluated_once
 from gaugeflow.operators.rules import LIVE, RangeRule, TimeLimits, out_of_range, out_of_time
@@ -38,17 +39,22 @@ def fixed_clock(as_of_ms: int) -> Column:
     return F.lit(as_of_ms).cast("bigint")
 
 
-def gate_column(
+def is_anomalous(
     as_of_ms: Column,
     rules: tuple[RangeRule, ...] = LIVE,
     limits: TimeLimits = TimeLimits(),
 ) -> Column:
-    anomalous = out_of_range(rules) | out_of_time(as_of_ms, limits)
+    """Out of range or out of time: true, false, or NULL where the row cannot tell."""
+    return out_of_range(rules) | out_of_time(as_of_ms, limits)
+
+
+def gate_of(anomalous: Column) -> Column:
+    """The gate of a row, given its verdict."""
     return (
         F.when(F.col("event_id").isNull(), SCHEMA)
         .when(anomalous, ANOMALY)
-        .when(~anomalous, PASSED)
-        .otherwise(INDETERMINATE)
+        .when(anomalous.isNull(), INDETERMINATE)
+        .otherwise(PASSED)
     )
 
 
@@ -82,7 +88,10 @@ def classify(
     clock = fixed_clock(as_of_ms) if isinstance(as_of_ms, int) else as_of_ms
     gate = F.col("gate")
     passed, anomaly = gate == PASSED, gate == ANOMALY
-    tagged = telemetry.select("*", evaluated_once(gate_column(clock, rules, limits)).alias("gate"))
+    verdict = evaluated_once(is_anomalous(clock, rules, limits)).alias("_anomalous")
+    tagged = telemetry.select("*", verdict).select(
+        *telemetry.columns, gate_of(F.col("_anomalous")).alias("gate")
+    )
     return tagged.withColumns(
         {
             "quality_status": F.when(passed, STATUS_PASSED).when(anomaly, STATUS_ANOMALY),
@@ -92,13 +101,6 @@ def classify(
     )
 
 
-def with_event_date(
-    gated: DataFrame, as_of_ms: int | Column, limits: TimeLimits = TimeLimits()
-) -> DataFrame:
-    clock = fixed_clock(as_of_ms) if isinstance(as_of_ms, int) else as_of_ms
-    return gated.withColumn("event_date", event_date(clock, limits))
-
-
 def reason() -> Column:
     """Why a row is in the dead-letter set; NULL for rows that are not."""
     return (
@@ -118,6 +120,25 @@ def reason() -> Column:
     )
 
 
+def dataset_rows(
+    gated: DataFrame, as_of_ms: int | Column, limits: TimeLimits = TimeLimits()
+) -> DataFrame:
+    """Classified messages in the shape of the one stored dataset.
+
+    The message text is kept only for rejected rows; for all others it repeats the parsed
+    columns.
+    """
+    clock = fixed_clock(as_of_ms) if isinstance(as_of_ms, int) else as_of_ms
+    rejected = F.col("gate").isin(SCHEMA, INDETERMINATE)
+    return gated.withColumns(
+        {
+            "reason": reason(),
+            "event_date": event_date(clock, limits),
+            "value": F.when(rejected, F.col("value")),
+        }
+    ).select(*schemas.gated().names)
+
+
 def raw_rows(gated: DataFrame) -> DataFrame:
     """The audit copy: every row, good or bad, without verdict or envelope."""
     return gated.select(*TELEMETRY_COLUMNS)

@@ -45,114 +45,71 @@ def _since(events: DataFrame, since_ms: int | None) -> DataFrame:
     return events.filter(F.col("ts") >= bound)
 
 
-def _mod(column: Column, n: int) -> Column:
-    return column % F.lit(n).cast("bigint")
-
-
-def _numbered(events: DataFrame) -> DataFrame:
-    """Events with ms time, the number in ``props`` and the kind of reading they become."""
-    ms = F.expr("timestampdiff(MILLISECOND, timestamp_ntz'1970-01-01 00:00:00', ts)")
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    kind = (
-        F.when((F.col("event_type") == "signup") & (_mod(F.col("k"), 10) == 0), "EMPTY")
-        .when((F.col("event_type") == "error") & (_mod(F.col("k"), 10) == 1), "PARTIAL")
-        .otherwise("FULL")
-    )
-    return events.select(
-        "event_id", "user_id", "event_type", "value", ms.alias("ms"), k.alias("k")
-    ).withColumn("kind", kind)
-
-
-def _readings() -> Column:
-    u, k, v = F.col("user_id"), F.col("k"), F.col("value")
-    steady = _mod(u, 40) == 8
-    x, y, z = (k - 50) / F.lit(23.0), v / F.lit(100.0), (50 - k) / F.lit(50.0)
-    metrics = [
-        {
-            "temperature": F.when(steady, F.lit(18.0)).otherwise(F.lit(17.0) + k * F.lit(0.09)),
-            "humidity": F.when(steady, F.lit(30.0)).otherwise(F.lit(30.0) + v / F.lit(10.0)),
-        },
-        {
-            "pressure": F.lit(999.0) + k * F.lit(0.22),
-            "temperature": F.lit(15.0) + k * F.lit(0.2),
-        },
-        {
-            "vibration_x": x,
-            "vibration_y": y,
-            "vibration_z": z,
-            "temperature": F.lit(20.0) + k * F.lit(0.2),
-        },
-        {
-            "voltage": F.lit(219.0) + k * F.lit(0.22),
-            "current": v / F.lit(10.0),
-            "power": v * F.lit(20.0),
-            "power_factor": F.lit(0.76) + _mod(u, 5) * F.lit(0.05) + k * F.lit(0.0005),
-        },
-    ]
-
-    def pick(build) -> Column:
-        kind = _mod(u, 4)
-        chosen = F.when(kind == 0, build(metrics[0]))
-        for i in (1, 2):
-            chosen = chosen.when(kind == i, build(metrics[i]))
-        return chosen.otherwise(build(metrics[3]))
-
-    def full(m: dict[str, Column]) -> Column:
-        return F.create_map(*[c for name, value in m.items() for c in (F.lit(name), value)])
-
-    def first_failed(m: dict[str, Column]) -> Column:
-        return F.create_map(F.lit(next(iter(m))), F.lit(None).cast("double"))
-
-    empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<double>"))
-    return (
-        F.when(F.col("kind") == "FULL", pick(full))
-        .when(F.col("kind") == "PARTIAL", pick(first_failed))
-        .otherwise(empty)
-    )
-
-
-def _metadata() -> Column:
-    u, k = F.col("user_id"), F.col("k")
-    full = F.col("kind") == "FULL"
-    location = F.struct(
-        F.concat(F.lit("Building-"), (_mod(u, 5) + 1).cast("string")).alias("building"),
-        (_mod(u, 10) + 1).cast("int").alias("floor"),
-        F.element_at(F.array(F.lit("A"), F.lit("B"), F.lit("C")), (_mod(u, 3) + 1).cast("int")).alias(
-            "zone"
-        ),
-    )
-    flagged = _mod(k, 50) == 3
-    return F.struct(
-        F.when(full, location).alias("location"),
-        F.when(_mod(u, 2) == 0, "1.0.0").otherwise("2.1.0").alias("firmware_version"),
-        (50 + _mod(u, 3) * 15 + _mod(k, 10)).cast("int").alias("signal_strength"),
-        F.when(_mod(u, 4) != 3, (15 + _mod(u * 7 + k, 85)).cast("int")).alias("battery_level"),
-        F.when(flagged, "true").alias("anomaly_detected"),
-        F.when(flagged, F.when(F.col("event_type") == "view", "spike").otherwise("drop")).alias(
-            "anomaly_type"
-        ),
-        F.when(F.col("kind") == "EMPTY", "reconnected").alias("status"),
-        F.when(F.col("kind") == "PARTIAL", "sensor_failure").alias("error"),
-    )
+# The recipe as SQL expressions: one parse each, where the same trees built call by call
+# would take longer to describe than a small table takes to read.
+_NUMBERED = (
+    "event_id AS eid",
+    "user_id AS u",
+    "event_type AS et",
+    "value AS v",
+    "timestampdiff(MILLISECOND, timestamp_ntz'1970-01-01 00:00:00', ts) AS ms",
+    "cast(get_json_object(props, '$.k') AS bigint) AS k",
+)
+# Kind of reading: all metrics, none (device back online), or only a failed first metric.
+_KIND = """
+    CASE WHEN et = 'signup' AND k % 10 = 0 THEN 'EMPTY'
+         WHEN et = 'error' AND k % 10 = 1 THEN 'PARTIAL'
+         ELSE 'FULL' END AS kind
+"""
+_DEVICE_TYPE = """
+    CASE u % 4 WHEN 0 THEN 'temperature_sensor' WHEN 1 THEN 'pressure_sensor'
+               WHEN 2 THEN 'vibration_sensor' ELSE 'energy_meter' END
+"""
+# Devices with u % 40 = 8 report the same values for ever.
+_READINGS = """
+    CASE kind
+      WHEN 'FULL' THEN CASE u % 4
+        WHEN 0 THEN map('temperature', if(u % 40 = 8, 18D, 17D + k * 0.09D),
+                        'humidity', if(u % 40 = 8, 30D, 30D + v / 10D))
+        WHEN 1 THEN map('pressure', 999D + k * 0.22D, 'temperature', 15D + k * 0.2D)
+        WHEN 2 THEN map('vibration_x', (k - 50) / 23D, 'vibration_y', v / 100D,
+                        'vibration_z', (50 - k) / 50D, 'temperature', 20D + k * 0.2D)
+        ELSE map('voltage', 219D + k * 0.22D, 'current', v / 10D, 'power', v * 20D,
+                 'power_factor', 0.76D + (u % 5) * 0.05D + k * 0.0005D) END
+      WHEN 'PARTIAL' THEN CASE u % 4
+        WHEN 0 THEN map('temperature', double(null)) WHEN 1 THEN map('pressure', double(null))
+        WHEN 2 THEN map('vibration_x', double(null)) ELSE map('voltage', double(null)) END
+      ELSE map_from_arrays(array()::array<string>, array()::array<double>) END
+"""
+_METADATA = """
+    named_struct(
+      'location', if(kind = 'FULL', named_struct(
+          'building', concat('Building-', u % 5 + 1),
+          'floor', int(u % 10 + 1),
+          'zone', CASE u % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'B' ELSE 'C' END), null),
+      'firmware_version', if(u % 2 = 0, '1.0.0', '2.1.0'),
+      'signal_strength', int(50 + (u % 3) * 15 + k % 10),
+      'battery_level', if(u % 4 = 3, null, int(15 + (u * 7 + k) % 85)),
+      'anomaly_detected', if(k % 50 = 3, 'true', null),
+      'anomaly_type', if(k % 50 = 3, if(et = 'view', 'spike', 'drop'), null),
+      'status', if(kind = 'EMPTY', 'reconnected', null),
+      'error', if(kind = 'PARTIAL', 'sensor_failure', null))
+"""
+_TELEMETRY = (
+    "if(eid % 97 = 0, null, concat('e', eid)) AS event_id",
+    "concat('dev-', u) AS device_id",
+    f"{_DEVICE_TYPE} AS device_type",
+    "ms AS timestamp",
+    f"{_READINGS} AS readings",
+    f"{_METADATA} AS metadata",
+)
+_POSITION = (f"int(u % {TOPIC_PARTITIONS}) AS partition", "eid AS offset")
 
 
-def to_telemetry(events: DataFrame, *extra: Column) -> DataFrame:
-    """The six telemetry columns for every event, and any extra columns asked for."""
-    u, eid = F.col("user_id"), F.col("event_id")
-    kind = _mod(u, 4)
-    return _numbered(events).select(
-        F.when(_mod(eid, 97) != 0, F.concat(F.lit("e"), eid.cast("string"))).alias("event_id"),
-        F.concat(F.lit("dev-"), u.cast("string")).alias("device_id"),
-        F.when(kind == 0, "temperature_sensor")
-        .when(kind == 1, "pressure_sensor")
-        .when(kind == 2, "vibration_sensor")
-        .otherwise("energy_meter")
-        .alias("device_type"),
-        F.col("ms").alias("timestamp"),
-        _readings().alias("readings"),
-        _metadata().alias("metadata"),
-        *extra,
-    )
+def to_telemetry(events: DataFrame, position: bool = False) -> DataFrame:
+    """The six telemetry columns for every event, with its topic position if asked for."""
+    kinds = events.selectExpr(*_NUMBERED).selectExpr("*", _KIND)
+    return kinds.selectExpr(*_TELEMETRY, *(_POSITION if position else ()))
 
 
 def to_messages(events: DataFrame, faulty: bool = False) -> DataFrame:
@@ -162,15 +119,10 @@ def to_messages(events: DataFrame, faulty: bool = False) -> DataFrame:
     text where a time and a map belong, one carries its metric outside ``readings`` and
     one lacks its ids.
     """
-    eid = F.col("event_id")
-    rows = to_telemetry(
-        events,
-        _mod(F.col("user_id"), TOPIC_PARTITIONS).cast("int").alias("partition"),
-        eid.alias("offset"),
-    )
+    rows = to_telemetry(events, position=True)
     value = message_text()
     if faulty:
-        value = _faulty(value, _mod(F.col("offset"), 89))
+        value = _faulty(value, F.col("offset") % 89)
     return rows.select(
         F.col("device_id").cast("binary").alias("key"),
         value.cast("binary").alias("value"),

@@ -123,7 +123,10 @@ class TableStore(TelemetryStore):
         self._spark, self._namespace = spark, namespace
 
     def _table(self, name: str, since_ms: int | None) -> DataFrame:
-        return _from(self._spark.read.table(f"{self._namespace}.{name}"), since_ms)
+        table = f"{self._namespace}.{name}"
+        # Streams replace partitions from a session of their own; drop stale file listings.
+        self._spark.catalog.refreshTable(table)
+        return _from(self._spark.read.table(table), since_ms)
 
     def raw(self, since_ms: int | None = None) -> DataFrame:
         return self._table("raw_telemetry", since_ms)
@@ -134,6 +137,9 @@ class TableStore(TelemetryStore):
     def anomalies(self, since_ms: int | None = None) -> DataFrame:
         return self._table("anomaly_alerts", since_ms)
 
+    def dead_letters(self) -> DataFrame:
+        return self._table("dead_letter_queue", None)
+
 
 def _from(rows: DataFrame, since_ms: int | None) -> DataFrame:
     if since_ms is None:
