@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,12 +17,15 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from gaugeflow.branches import Branch, publish
 from gaugeflow.functions.clock import DAY_MS, HOUR_MS
 from gaugeflow.operators import contract, dead_letter, gates, sensors
 from gaugeflow.operators.rules import LIVE, TimeLimits, out_of_range, out_of_time
 from gaugeflow.plans import dashboards, device_models, energy_models
+from gaugeflow.session import shared_dir
 from gaugeflow.sources import events, messages
-from gaugeflow.sources.stores import EventsStore, FrameStore
+from gaugeflow.sources.stores import DatasetStore, EventsStore, FrameStore
+from gaugeflow.streaming import ingest, rollup
 
 AS_OF = events.AS_OF_MS
 WIDE = 720 * HOUR_MS
@@ -329,6 +333,52 @@ def q_hourly_sensor_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(rows, "avg_value", "min_value", "max_value")
 
 
+# ---- streams and branches ----------------------------------------------------------
+
+
+def _scratch(spark: SparkSession) -> Branch:
+    """A branch of its own in the folder the cluster shares."""
+    return Branch(f"{shared_dir(spark)}/gaugeflow/{uuid.uuid4().hex}")
+
+
+def _streamed(spark: SparkSession, sf_dir: str, faulty: bool = False) -> DataFrame:
+    sent = events.to_messages(events.stream_events(spark, sf_dir), faulty)
+    return ingest.gate_messages(sent, AS_OF, LIVE, LIMITS)
+
+
+def _landed(spark: SparkSession, sf_dir: str) -> Branch:
+    branch = _scratch(spark)
+    rows = _streamed(spark, sf_dir, faulty=True)
+    ingest.start_dataset_sink(
+        rows, branch.landing, branch.checkpoint(), trigger=None
+    ).awaitTermination()
+    return branch
+
+
+def q_stream_route_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages through the streaming sink, then counted from what it wrote."""
+    rows = DatasetStore(spark, _landed(spark, sf_dir).landing).rows()
+    return rows.groupBy("gate", "reason").agg(F.count("*").alias("row_count"))
+
+
+def q_published_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed by the stream, audited, compacted and published, then counted."""
+    rows = publish(spark, _landed(spark, sf_dir)).rows()
+    date = F.col("event_date").cast("string").alias("event_date")
+    return rows.groupBy(date, "gate").agg(F.count("*").alias("row_count"))
+
+
+def q_stream_hourly_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours that a watermark of one day has closed when the stream has caught up."""
+    branch = _scratch(spark)
+    rollup.start_rollup(
+        _streamed(spark, sf_dir), branch.rollup, branch.checkpoint("hourly"),
+        delay="1 day", trigger=None,
+    ).awaitTermination()
+    rows = spark.read.parquet(branch.rollup)
+    return _rounded(rows, "avg_value", "min_value", "max_value")
+
+
 # ---- contract ----------------------------------------------------------------------
 
 
@@ -386,6 +436,9 @@ def queries() -> dict[str, Query]:
         "q_range_rules": q_range_rules,
         "q_stuck_sensors": q_stuck_sensors,
         "q_hourly_sensor_aggregates": q_hourly_sensor_aggregates,
+        "q_stream_route_counts": q_stream_route_counts,
+        "q_published_dates": q_published_dates,
+        "q_stream_hourly_aggregates": q_stream_hourly_aggregates,
     }
 
 

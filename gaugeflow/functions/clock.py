@@ -52,11 +52,24 @@ def utc_seconds(ms: Column | str) -> Column:
     )
 
 
+def _bucket(ms: Column | str, size: int) -> Column:
+    ms = F.col(ms) if isinstance(ms, str) else ms
+    return ms - F.pmod(ms, F.lit(size).cast("bigint"))
+
+
 def hour_start_ms(ms: Column | str) -> Column:
     """Start of the hour as ms; a cheaper grouping key than a timestamp."""
-    ms = F.col(ms) if isinstance(ms, str) else ms
-    return ms - F.pmod(ms, F.lit(HOUR_MS).cast("bigint"))
+    return _bucket(ms, HOUR_MS)
+
+
+def day_start_ms(ms: Column | str) -> Column:
+    """Start of the UTC day as ms."""
+    return _bucket(ms, DAY_MS)
 
 
 def utc_day(ms: Column | str) -> Column:
-    return F.to_date(utc_seconds(ms))
+    """UTC date, by whole-number arithmetic; NULL outside the years 1 to 9999."""
+    ms = F.col(ms) if isinstance(ms, str) else ms
+    days = F.call_function("div", day_start_ms(ms), F.lit(DAY_MS).cast("bigint"))
+    epoch = F.lit("1970-01-01").cast("date")
+    return F.when(ms.between(FIRST_MS, LAST_MS), F.date_add(epoch, days.cast("int")))

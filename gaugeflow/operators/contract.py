@@ -52,14 +52,16 @@ CONTRACT = REQUIRED + tuple(
 )
 
 
-def _kind(document: Column, path: str) -> Column:
-    """Type name of the value at ``path`` without its parameters; NULL when absent."""
-    found = F.try_variant_get(document, f"$.{path}", "variant")
-    return F.regexp_extract(F.schema_of_variant(found), "^[A-Z]+", 0)
+def _kind(field: Field) -> Column:
+    """Type name of the field's value without its parameters; NULL when absent."""
+    found = F.schema_of_variant(F.try_variant_get("document", f"$.{field.path}", "variant"))
+    name = F.substring_index(F.substring_index(found, "<", 1), "(", 1)
+    if field.device_type is None:
+        return name
+    return F.when(F.col("device_type") == field.device_type, name)
 
 
-def _violation(field: Field) -> Column:
-    kind = _kind(F.col("document"), field.path)
+def _violation(field: Field, kind: Column) -> Column:
     verdict = (
         F.when(kind.isNull(), MISSING)
         .when(kind == "VOID", NULL)
@@ -74,18 +76,25 @@ def _violation(field: Field) -> Column:
 def violations(messages: DataFrame, contract: tuple[Field, ...] = CONTRACT) -> DataFrame:
     """One row per broken field of every message: device_type, field, violation.
 
-    A message that is not JSON is one violation of the whole document.
+    A message that is not JSON is one violation of the whole document. The kind of each
+    field is a column of its own before the rows are expanded, so that it is looked up
+    once however often the verdict mentions it.
     """
     text = F.col("value").cast("string")
     parsed = messages.select(evaluated_once(F.try_parse_json(text)).alias("document"))
-    typed = parsed.withColumn(
+    kinds = {f"_k{i}": field for i, field in enumerate(contract)}
+    looked_up = parsed.withColumn(
         "device_type", F.try_variant_get("document", "$.device_type", "string")
+    ).select(
+        "device_type",
+        F.col("document").isNull().alias("_unreadable"),
+        *[_kind(field).alias(name) for name, field in kinds.items()],
     )
     whole = F.struct(F.lit("$").alias("field"), F.lit(UNREADABLE).alias("violation"))
-    broken = F.when(F.col("document").isNull(), F.array(whole)).otherwise(
-        F.array_compact(F.array(*[_violation(f) for f in contract]))
+    broken = F.when(F.col("_unreadable"), F.array(whole)).otherwise(
+        F.array_compact(F.array(*[_violation(f, F.col(name)) for name, f in kinds.items()]))
     )
-    return typed.select("device_type", F.inline(broken))
+    return looked_up.select("device_type", F.inline(broken))
 
 
 def contract_violations(

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugeflow.functions.clock import DAY_MS, resolve, utc_day, utc_seconds
+from gaugeflow.functions.clock import DAY_MS, day_start_ms, resolve, utc_seconds
 from gaugeflow.functions.fields import reading
+from gaugeflow.operators import gates
 from gaugeflow.operators.latest import latest_per_device, recency
 from gaugeflow.sources.stores import TelemetryStore
 
@@ -19,7 +20,7 @@ def device_summary(store: TelemetryStore) -> DataFrame:
     """
     daily = (
         store.validated()
-        .groupBy("device_id", "device_type", utc_day("timestamp").alias("_day"))
+        .groupBy("device_id", "device_type", day_start_ms("timestamp").alias("_day"))
         .agg(
             F.count("*").alias("_n"),
             F.min("timestamp").alias("_first"),
@@ -133,42 +134,50 @@ def device_health(
 ) -> DataFrame:
     """Health score and maintenance advice for every device with a validated reading.
 
-    Metrics are kept per device and type while place and firmware come from the device's
-    newest row, so a device seen under two types has two rows. One scan yields both: the
-    aggregate carries the newest row of each type, and a window over the few rows left
-    per device picks the newest of those.
+    Metrics are kept per device and type, anomalies per device, while place and firmware
+    come from the device's newest row; a device seen under two types has two rows.
+
+    One scan and no join: the aggregate counts passed and anomalous rows apart and carries
+    the newest passed row of each type, and a window over the few rows that remain per
+    device adds up anomalies and picks the newest of the newest.
     """
     as_of = resolve(as_of_ms)
-    since = as_of - window_ms
-    signal, battery = F.col("metadata.signal_strength"), F.col("metadata.battery_level")
+    passed, anomalous = F.col("gate") == gates.PASSED, F.col("gate") == gates.ANOMALY
+    signal = F.when(passed, F.col("metadata.signal_strength"))
+    battery = F.when(passed, F.col("metadata.battery_level"))
     newest = F.struct(
         "device_type",
         F.col("metadata.location").alias("location"),
         F.col("metadata.firmware_version").alias("firmware_version"),
     )
+    when = F.when(passed, recency())
     per_type = (
-        store.validated(since)
+        store.tagged(as_of - window_ms)
+        .filter(F.col("gate").isin(gates.PASSED, gates.ANOMALY) & F.col("device_id").isNotNull())
         .groupBy("device_id", "device_type")
         .agg(
-            F.count("*").alias("total_readings_24h"),
+            F.count_if(passed).alias("total_readings_24h"),
             F.avg(signal.cast("double")).alias("avg_signal_strength"),
             F.avg(battery.cast("double")).alias("avg_battery_level"),
             F.min(battery).alias("min_battery_level"),
-            F.max("timestamp").alias("_last_seen"),
-            F.max_by(newest, recency()).alias("_newest"),
-            F.max(recency()).alias("_recency"),
+            F.max(F.when(passed, F.col("timestamp"))).alias("_last_seen"),
+            F.max_by(newest, when).alias("_newest"),
+            F.max(when).alias("_recency"),
+            F.count_if(anomalous).alias("_anomalies"),
+            F.max(F.when(anomalous, F.col("anomaly_score"))).alias("_max_score"),
         )
         .drop("device_type")
     )
     device = Window.partitionBy("device_id")
-    per_device = per_type.withColumn("_newest", F.max_by("_newest", "_recency").over(device))
-    anomalies = (
-        store.anomalies(since)
-        .groupBy("device_id")
-        .agg(F.count("*").alias("_anomalies"), F.max("anomaly_score").alias("_max_score"))
-    )
+    per_device = per_type.withColumns(
+        {
+            "_newest": F.max_by("_newest", "_recency").over(device),
+            "_anomalies": F.sum("_anomalies").over(device),
+            "_max_score": F.max("_max_score").over(device),
+        }
+    ).filter(F.col("total_readings_24h") > 0)
     score, advice = _health()
-    return per_device.join(anomalies, "device_id", "left").select(
+    return per_device.select(
         "device_id",
         "_newest.device_type",
         "_newest.location.building",
@@ -179,7 +188,7 @@ def device_health(
         "avg_signal_strength",
         "avg_battery_level",
         "min_battery_level",
-        F.coalesce("_anomalies", F.lit(0).cast("bigint")).alias("anomaly_count_24h"),
+        F.col("_anomalies").alias("anomaly_count_24h"),
         F.coalesce("_max_score", F.lit(0.0)).alias("max_anomaly_score"),
         score.alias("health_score"),
         advice.alias("maintenance_recommendation"),

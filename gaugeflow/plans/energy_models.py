@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gaugeflow.functions.clock import DAY_MS, HOUR_MS, hour_start_ms, midnight, resolve, utc_seconds
 from gaugeflow.functions.fields import place, reading
+from gaugeflow.operators import gates
 from gaugeflow.sources.stores import TelemetryStore
 
 METER = "energy_meter"
@@ -25,17 +26,17 @@ ADVICE_LOAD = "Consider load balancing"
 ADVICE_NONE = "Operating normally"
 
 
+# Reading and the column of its mean per meter.
+_MEANS = {"power": "power_w", "voltage": "voltage", "current": "amperage", "power_factor": "power_factor"}
+
+
 def meter_readings(
     store: TelemetryStore, as_of_ms: int | None = None, window_ms: int = HOUR_MS
 ) -> DataFrame:
     """Mean power, voltage, current and power factor per meter and place."""
     meters = store.validated(resolve(as_of_ms) - window_ms).filter(F.col("device_type") == METER)
-    return meters.groupBy(*place("building", "floor", "zone"), "device_id").agg(
-        F.avg(reading("power")).alias("power_w"),
-        F.avg(reading("voltage")).alias("voltage"),
-        F.avg(reading("current")).alias("amperage"),
-        F.avg(reading("power_factor")).alias("power_factor"),
-    )
+    means = [F.avg(reading(metric)).alias(name) for metric, name in _MEANS.items()]
+    return meters.groupBy(*place("building", "floor", "zone"), "device_id").agg(*means)
 
 
 def floor_breakdown(
@@ -73,29 +74,49 @@ def building_energy(
     By default a building without anomalies today has no count in the score's tests, so
     all of them fail and it scores the lowest value, although its reported count is 0.
     ``count_missing_as_zero`` scores such a building by its real count of zero.
+
+    Readings of the window and today's anomalies come from one scan: both are reduced per
+    meter and place first, then per building, so there is nothing to join.
     """
     as_of = resolve(as_of_ms)
+    since, today = as_of - window_ms, midnight(as_of)
+    at, gate = F.col("timestamp"), F.col("gate")
+    passed = (gate == gates.PASSED) & (at >= since)
+    anomalous = (gate == gates.ANOMALY) & (at >= today)
+    means = [
+        F.avg(F.when(passed, reading(metric))).alias(name) for metric, name in _MEANS.items()
+    ]
+    meters = (
+        store.tagged(min(since, today))
+        .filter((F.col("device_type") == METER) & (passed | anomalous))
+        .groupBy(*place("building", "floor", "zone"), "device_id")
+        .agg(
+            *means,
+            F.count_if(passed).alias("_passed"),
+            F.count_if(anomalous).alias("_anomalous"),
+        )
+    )
     power = F.sum("power_w")
+    found = F.sum("_anomalous")
+    # Anomalies without a building belong to no building, not to the unnamed one.
+    counted = F.when(F.col("building").isNotNull() & (F.col("_found") > 0), F.col("_found"))
     buildings = (
-        meter_readings(store, as_of, window_ms)
-        .groupBy("building")
+        meters.groupBy("building")
         .agg(
-            F.countDistinct("device_id").alias("meter_count"),
+            F.countDistinct(F.when(F.col("_passed") > 0, F.col("device_id"))).alias("meter_count"),
+            F.sum("_passed").alias("_readings"),
             (power / 1000).alias("total_current_power_kw"),
             F.avg("voltage").alias("avg_voltage"),
             F.avg("power_factor").alias("avg_power_factor"),
             ((power * 24) / 1000).alias("estimated_daily_kwh"),
             ((power * 24 * 30) / 1000 * USD_PER_KWH).alias("estimated_monthly_cost_usd"),
+            found.alias("_found"),
         )
+        .filter(F.col("_readings") > 0)
+        .withColumn("_anomalies", counted)
     )
-    today = (
-        store.anomalies(midnight(as_of))
-        .filter(F.col("device_type") == METER)
-        .groupBy(*place("building"))
-        .agg(F.count("*").alias("_anomalies"))
-    )
-    counted = F.coalesce("_anomalies", F.lit(0).cast("bigint"))
-    tested = counted if count_missing_as_zero else F.col("_anomalies")
+    reported = F.coalesce("_anomalies", F.lit(0).cast("bigint"))
+    tested = reported if count_missing_as_zero else F.col("_anomalies")
     advice = (
         F.when(F.col("avg_power_factor") < LOW_POWER_FACTOR, ADVICE_POWER_FACTOR)
         .when(tested > MANY_ANOMALIES, ADVICE_ANOMALIES)
@@ -103,8 +124,7 @@ def building_energy(
         .otherwise(ADVICE_NONE)
     )
     return (
-        buildings.join(today, "building", "left")
-        .select(
+        buildings.select(
             "building",
             "meter_count",
             "total_current_power_kw",
@@ -112,7 +132,7 @@ def building_energy(
             "avg_power_factor",
             "estimated_daily_kwh",
             "estimated_monthly_cost_usd",
-            counted.alias("energy_anomalies_today"),
+            reported.alias("energy_anomalies_today"),
             _efficiency(F.col("avg_power_factor"), tested).alias("efficiency_score"),
             advice.alias("recommendation"),
             utc_seconds(F.lit(as_of).cast("bigint")).alias("dashboard_updated_at"),

@@ -11,9 +11,12 @@ from abc import ABC, abstractmethod
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gaugeflow import schemas
 from gaugeflow.functions.clock import utc_day
 from gaugeflow.operators import gates
+from gaugeflow.operators.dead_letter import dead_letters
 from gaugeflow.operators.rules import LIVE, RangeRule, TimeLimits
+from gaugeflow.schemas import QUALITY_COLUMNS, TELEMETRY_COLUMNS
 from gaugeflow.sources import events
 
 
@@ -32,6 +35,14 @@ class TelemetryStore(ABC):
     def anomalies(self, since_ms: int | None = None) -> DataFrame:
         """Rows that broke a rule, with quality columns."""
 
+    @abstractmethod
+    def tagged(self, since_ms: int | None = None) -> DataFrame:
+        """Telemetry with ``gate`` and quality columns, for one pass over several gates.
+
+        Passed and anomalous rows occur once under their gate. What other rows look like
+        depends on the store.
+        """
+
     def register_views(self) -> None:
         """Expose the three tables to ``spark.sql`` under their usual names."""
         self.raw().createOrReplaceTempView("raw_telemetry")
@@ -55,8 +66,9 @@ class GatedStore(TelemetryStore):
     def anomalies(self, since_ms: int | None = None) -> DataFrame:
         return gates.anomaly_rows(self.rows(since_ms))
 
-    def rejected(self) -> DataFrame:
-        return gates.rejected_rows(self.rows())
+    def tagged(self, since_ms: int | None = None) -> DataFrame:
+        columns = [*TELEMETRY_COLUMNS, *QUALITY_COLUMNS, "gate"]
+        return self.rows(since_ms).select(*columns)
 
 
 class FrameStore(GatedStore):
@@ -80,36 +92,37 @@ class EventsStore(GatedStore):
         rules: tuple[RangeRule, ...] = LIVE,
         limits: TimeLimits = TimeLimits(max_age_ms=events.MAX_AGE_MS),
     ):
-        self._spark, self._dir = spark, sf_dir
         self._as_of, self._rules, self._limits = as_of_ms, rules, limits
+        self._events = events.read_events(spark, sf_dir)
 
     def rows(self, since_ms: int | None = None) -> DataFrame:
-        rows = events.to_telemetry(events.read_events(self._spark, self._dir, since_ms))
+        rows = events.to_telemetry(events.since(self._events, since_ms))
         return gates.classify(rows, self._as_of, self._rules, self._limits)
 
 
 class DatasetStore(GatedStore):
-    """A gated dataset on files, partitioned by ``event_date`` and ``gate``."""
+    """A gated dataset on files, partitioned by event date.
+
+    The files are listed once, so that all reads of one store, such as the scans of one
+    model, see the same data; make a new store to see new files.
+    """
 
     def __init__(self, spark: SparkSession, path: str, file_format: str = "parquet"):
-        self._spark, self._path, self._format = spark, path, file_format
+        self._rows = spark.read.format(file_format).schema(schemas.gated()).load(path)
 
     def rows(self, since_ms: int | None = None) -> DataFrame:
-        rows = self._spark.read.format(self._format).load(self._path)
         if since_ms is None:
-            return rows
+            return self._rows
         # Event dates grow with event time except in the partition for old events, so
         # these two partition tests keep every row the time bound keeps.
         day = utc_day(F.lit(since_ms).cast("bigint"))
         kept = (F.col("event_date") >= day) | (
             F.col("event_date") == F.lit(gates.DATE_PAST).cast("date")
         )
-        return _from(rows.filter(kept), since_ms)
+        return _from(self._rows.filter(kept), since_ms)
 
     def dead_letters(self) -> DataFrame:
-        from gaugeflow.operators.dead_letter import dead_letters
-
-        return dead_letters(self.rows())
+        return dead_letters(self._rows)
 
     def register_views(self) -> None:
         super().register_views()
@@ -137,6 +150,12 @@ class TableStore(TelemetryStore):
     def anomalies(self, since_ms: int | None = None) -> DataFrame:
         return self._table("anomaly_alerts", since_ms)
 
+    def tagged(self, since_ms: int | None = None) -> DataFrame:
+        passed = self.validated(since_ms).withColumn("gate", F.lit(gates.PASSED))
+        anomalous = self.anomalies(since_ms).withColumn("gate", F.lit(gates.ANOMALY))
+        columns = [*TELEMETRY_COLUMNS, *QUALITY_COLUMNS, "gate"]
+        return passed.select(*columns).unionByName(anomalous.select(*columns))
+
     def dead_letters(self) -> DataFrame:
         return self._table("dead_letter_queue", None)
 

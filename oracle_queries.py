@@ -430,4 +430,14 @@ def oracle_sql() -> dict[str, str]:
         "q_range_rules": _range_rules(),
         "q_stuck_sensors": _stuck(),
         "q_hourly_sensor_aggregates": _hourly(f"ts_ms>={AS_OF - WIDE}"),
+        "q_stream_route_counts": f"""{_faulty()} select gate,
+          case when gate in ('SCHEMA','INDETERMINATE') then reason end as reason,
+          count(*) row_count from f group by 1,2""",
+        "q_published_dates": f"""{_faulty()} select
+          cast(cast({_time(f"case when fault in (0,1) then {AS_OF} else ts_ms end")} as date)
+            as varchar) event_date,
+          gate, count(*) row_count from f group by 1,2""",
+        "q_stream_hourly_aggregates": _hourly(
+            f"ts_ms//{HOUR}*{HOUR}+{HOUR} <= (select max(ts_ms) from v) - {DAY}"
+        ),
     }

@@ -22,6 +22,8 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _cell(value):
+    if isinstance(value, dt.date) and not isinstance(value, dt.datetime):
+        return value.isoformat()
     if isinstance(value, dt.datetime):
         return value.replace(tzinfo=None).isoformat()
     if isinstance(value, float):

@@ -81,6 +81,15 @@ def test_health_of_a_device_with_two_types(spark):
     assert {(r["device_type"], r["building"]) for r in rows} == {("energy_meter", "new")}
 
 
+def test_health_leaves_out_rows_without_a_device(spark):
+    assert set(health(spark, row("d"), row(None, eid="e"))) == {"d"}
+
+
+def test_anomalies_count_for_the_device_not_the_type(spark):
+    rows = [row("d", "energy_meter", at=NOW - i, gate="ANOMALY") for i in range(11)]
+    assert health(spark, row("d"), *rows)["d"]["health_score"] == 20
+
+
 def test_health_window_has_a_closed_start_and_no_end(spark):
     got = health(spark, row("edge", at=NOW - DAY_MS), row("out", at=NOW - DAY_MS - 1),
                  row("ahead", at=NOW + HOUR_MS))

@@ -67,9 +67,9 @@ def test_dashboards_read_only_their_columns(dataset):
         assert "readings" not in scan
 
 
-def test_health_reads_validated_rows_once(dataset):
+def test_health_is_one_scan_without_a_join(dataset):
     text = plan(device_models.device_health(dataset, NOW))
-    assert text.count("FileScan") == 2  # validated rows and anomalies
+    assert text.count("FileScan") == 1 and "Join" not in text
 
 
 def test_latest_reduces_before_the_shuffle(dataset):

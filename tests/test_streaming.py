@@ -11,11 +11,12 @@ from gaugeflow import tables
 from gaugeflow.branches import AuditError, Branch, publish
 from gaugeflow.functions.clock import DAY_MS
 from gaugeflow.operators.rules import TimeLimits
+from gaugeflow.plans import device_models
 from gaugeflow.sources import events
 from gaugeflow.sources.messages import file_messages
 from gaugeflow.sources.stores import DatasetStore, FrameStore, TableStore
 from gaugeflow.streaming import ingest, rollup
-from oracle import canonical
+from oracle import canonical, spark_rows
 
 LIMITS = TimeLimits(max_age_ms=events.MAX_AGE_MS)
 COMPARED = [
@@ -140,6 +141,9 @@ def test_table_sink_routes_and_replays(spark, topic, tmp_path):
     assert store.validated(events.AS_OF_MS - DAY_MS).count() == FrameStore(
         gated(messages)
     ).validated(events.AS_OF_MS - DAY_MS).count()
+    health = device_models.device_health(store, events.AS_OF_MS, 30 * DAY_MS)
+    same = device_models.device_health(FrameStore(gated(messages)), events.AS_OF_MS, 30 * DAY_MS)
+    assert spark_rows(health) == spark_rows(same)
     tables.drop_tables(spark, namespace)
     assert tables.list_tables(spark, namespace) == []
     tables.drop_tables(spark, namespace)
