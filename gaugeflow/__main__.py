@@ -8,8 +8,8 @@ from pyspark.sql import SparkSession
 
 from gaugeflow import tables
 from gaugeflow.branches import MAIN, Branch, publish
-from gaugeflow.plans.registry import DASHBOARDS, MODELS, run_models
 from gaugeflow.functions.clock import resolve
+from gaugeflow.plans.registry import DASHBOARDS, MODELS, run_models
 from gaugeflow.session import build_session, shared_dir
 from gaugeflow.sources.messages import TOPIC, file_messages, kafka_messages
 from gaugeflow.sources.stores import DatasetStore, TableStore, TelemetryStore
@@ -37,8 +37,9 @@ def _parser() -> argparse.ArgumentParser:
     stream.add_argument("--trigger", default=ingest.TRIGGER)
     stream.add_argument("--once", action="store_true", help="work off what is there, then stop")
     stream.add_argument("--sink", choices=("dataset", "tables"), default="dataset")
-    stream.add_argument("--min-partitions", type=int)
-    stream.add_argument("--write-tasks", type=int)
+    stream.add_argument("--min-partitions", type=int, help="least tasks that read the topic")
+    stream.add_argument("--max-per-trigger", type=int, help="most offsets or files per batch")
+    stream.add_argument("--write-tasks", type=int, help="tasks that write a batch's files")
     stream.add_argument("--rollup", action="store_true", help="also maintain hourly aggregates")
 
     push = commands.add_parser("publish")
@@ -64,9 +65,10 @@ def _ingest(spark: SparkSession, branch: Branch, args: argparse.Namespace) -> No
     def messages():
         if args.servers:
             return kafka_messages(
-                spark, args.servers, args.topic, min_partitions=args.min_partitions
+                spark, args.servers, args.topic,
+                max_offsets_per_trigger=args.max_per_trigger, min_partitions=args.min_partitions,
             )
-        return file_messages(spark, args.files)
+        return file_messages(spark, args.files, max_files_per_trigger=args.max_per_trigger)
 
     trigger = None if args.once else args.trigger
     if args.sink == "tables":
@@ -89,7 +91,7 @@ def _ingest(spark: SparkSession, branch: Branch, args: argparse.Namespace) -> No
                 trigger=trigger,
             )
         )
-    ingest.wait(started)
+    ingest.wait(spark, started)
 
 
 def main(argv: list[str] | None = None) -> None:

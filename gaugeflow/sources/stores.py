@@ -16,7 +16,7 @@ from gaugeflow.functions.clock import utc_day
 from gaugeflow.operators import gates
 from gaugeflow.operators.dead_letter import dead_letters
 from gaugeflow.operators.rules import LIVE, RangeRule, TimeLimits
-from gaugeflow.schemas import QUALITY_COLUMNS, TELEMETRY_COLUMNS
+from gaugeflow.schemas import DEAD_LETTER_COLUMNS, QUALITY_COLUMNS, TELEMETRY_COLUMNS
 from gaugeflow.sources import events
 
 
@@ -135,29 +135,28 @@ class TableStore(TelemetryStore):
     def __init__(self, spark: SparkSession, namespace: str):
         self._spark, self._namespace = spark, namespace
 
-    def _table(self, name: str, since_ms: int | None) -> DataFrame:
+    def _table(self, name: str, columns: list[str], since_ms: int | None = None) -> DataFrame:
         table = f"{self._namespace}.{name}"
         # Streams replace partitions from a session of their own; drop stale file listings.
         self._spark.catalog.refreshTable(table)
-        return _from(self._spark.read.table(table), since_ms)
+        return _from(self._spark.read.table(table).select(*columns), since_ms)
 
     def raw(self, since_ms: int | None = None) -> DataFrame:
-        return self._table("raw_telemetry", since_ms)
+        return self._table("raw_telemetry", TELEMETRY_COLUMNS, since_ms)
 
     def validated(self, since_ms: int | None = None) -> DataFrame:
-        return self._table("validated_telemetry", since_ms)
+        return self._table("validated_telemetry", TELEMETRY_COLUMNS + QUALITY_COLUMNS, since_ms)
 
     def anomalies(self, since_ms: int | None = None) -> DataFrame:
-        return self._table("anomaly_alerts", since_ms)
+        return self._table("anomaly_alerts", TELEMETRY_COLUMNS + QUALITY_COLUMNS, since_ms)
 
     def tagged(self, since_ms: int | None = None) -> DataFrame:
         passed = self.validated(since_ms).withColumn("gate", F.lit(gates.PASSED))
         anomalous = self.anomalies(since_ms).withColumn("gate", F.lit(gates.ANOMALY))
-        columns = [*TELEMETRY_COLUMNS, *QUALITY_COLUMNS, "gate"]
-        return passed.select(*columns).unionByName(anomalous.select(*columns))
+        return passed.unionByName(anomalous)
 
     def dead_letters(self) -> DataFrame:
-        return self._table("dead_letter_queue", None)
+        return self._table("dead_letter_queue", DEAD_LETTER_COLUMNS)
 
 
 def _from(rows: DataFrame, since_ms: int | None) -> DataFrame:

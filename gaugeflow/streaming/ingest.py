@@ -10,7 +10,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -117,11 +118,28 @@ def _triggered(writer: DataStreamWriter, trigger: str | None) -> DataStreamWrite
     return writer.trigger(processingTime=trigger)
 
 
-def wait(queries: Sequence[StreamingQuery]) -> None:
-    """Block until the streams end; an interrupt stops them in good order."""
+def wait(spark: SparkSession, queries: Sequence[StreamingQuery]) -> None:
+    """Block until all streams have ended. An interrupt stops them; a failure of one stops
+    the others and is raised.
+    """
+    # Forget streams that ended earlier in this session; the loop looks at its own first.
+    spark.streams.resetTerminated()
     try:
-        for query in queries:
-            query.awaitTermination()
+        while any(query.isActive for query in queries) and not _failures(queries):
+            try:
+                spark.streams.awaitAnyTermination()
+            except StreamingQueryException:
+                pass
+            spark.streams.resetTerminated()
     except KeyboardInterrupt:
+        pass
+    finally:
         for query in queries:
-            query.stop()
+            if query.isActive:
+                query.stop()
+    for failure in _failures(queries):
+        raise failure
+
+
+def _failures(queries: Sequence[StreamingQuery]) -> list[StreamingQueryException]:
+    return [error for query in queries if (error := query.exception()) is not None]

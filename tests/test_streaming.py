@@ -233,3 +233,16 @@ def test_rollup_emits_each_closed_hour_once(spark, topic, tmp_path):
 def test_whole_delay_covers_both_limits():
     assert rollup.whole_delay(TimeLimits(1_000, 5_000)) == "6 seconds"
     assert rollup.whole_delay() == f"{7 * 86400 + 3600} seconds"
+
+
+def test_wait_raises_the_failure_of_one_stream_and_stops_the_others(spark, topic, tmp_path):
+    deliver(topic[1][0], tmp_path / "in")
+    rows = gated(file_messages(spark, str(tmp_path / "in")))
+    endless = ingest.start_dataset_sink(rows, str(tmp_path / "out"), str(tmp_path / "cp"))
+    broken = rows.withColumn("value", F.raise_error(F.lit("broken on purpose")).cast("string"))
+    failing = ingest.start_dataset_sink(
+        broken, str(tmp_path / "out2"), str(tmp_path / "cp2"), trigger=None
+    )
+    with pytest.raises(Exception, match="broken on purpose"):
+        ingest.wait(spark, [endless, failing])
+    assert not endless.isActive
