@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -14,8 +14,14 @@ def recency() -> Column:
 def latest_per_device(rows: DataFrame, *columns: Column | str) -> DataFrame:
     """One row per device holding ``columns`` of its newest reading.
 
-    An aggregate, not a window: each task reduces its rows to one per device before the
-    shuffle, so a device with a third of all rows moves no more data than any other.
+    Spark turns the rank limit into a partial limit before the shuffle: each task keeps
+    one row per device, so a device with a third of all rows moves no more data than any
+    other.
     """
-    newest = F.max_by(F.struct(*columns), recency()).alias("newest")
-    return rows.groupBy("device_id").agg(newest).select("device_id", "newest.*")
+    newest_first = Window.partitionBy("device_id").orderBy(F.desc("timestamp"), F.desc("event_id"))
+    ranked = rows.select("device_id", "timestamp", "event_id", F.struct(*columns).alias("newest"))
+    return (
+        ranked.withColumn("rank", F.row_number().over(newest_first))
+        .filter(F.col("rank") == 1)
+        .select("device_id", "newest.*")
+    )
