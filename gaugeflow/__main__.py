@@ -40,6 +40,7 @@ def _parser() -> argparse.ArgumentParser:
     stream.add_argument("--min-partitions", type=int, help="least tasks that read the topic")
     stream.add_argument("--max-per-trigger", type=int, help="most offsets or files per batch")
     stream.add_argument("--write-tasks", type=int, help="tasks that write a batch's files")
+    stream.add_argument("--retention", help="how long the landing log keeps files, as 30d")
     stream.add_argument("--rollup", action="store_true", help="also maintain hourly aggregates")
 
     push = commands.add_parser("publish")
@@ -81,7 +82,7 @@ def _ingest(spark: SparkSession, branch: Branch, args: argparse.Namespace) -> No
         started = [
             ingest.start_dataset_sink(
                 ingest.gate_messages(messages()), branch.landing, branch.checkpoint(),
-                trigger=trigger, write_tasks=args.write_tasks,
+                trigger=trigger, write_tasks=args.write_tasks, retention=args.retention,
             )
         ]
     if args.rollup:

@@ -103,20 +103,16 @@ def classify(
 
 def reason() -> Column:
     """Why a row is in the dead-letter set; NULL for rows that are not."""
-    return (
-        F.when(F.col("gate") == SCHEMA, "event_id missing or message unreadable")
-        .when((F.col("gate") == INDETERMINATE) & F.col("timestamp").isNull(), "event time missing")
-        .when(
-            (F.col("gate") == INDETERMINATE) & F.col("device_type").isNull(),
-            "device_type missing",
-        )
-        .when(
-            (F.col("gate") == INDETERMINATE) & F.col("readings").isNull(), "readings missing"
-        )
-        .when(
-            (F.col("gate") == INDETERMINATE) & (F.size("readings") == 0), "readings empty"
-        )
-        .when(F.col("gate") == INDETERMINATE, "required metric missing or null")
+    undecided = (
+        F.when(F.col("timestamp").isNull(), "event time missing")
+        .when(F.col("device_type").isNull(), "device_type missing")
+        .when(F.col("readings").isNull(), "readings missing")
+        .when(F.size("readings") == 0, "readings empty")
+        .otherwise("required metric missing or null")
+    )
+    gate = F.col("gate")
+    return F.when(gate == SCHEMA, "event_id missing or message unreadable").when(
+        gate == INDETERMINATE, undecided
     )
 
 

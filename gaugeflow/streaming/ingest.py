@@ -60,11 +60,15 @@ def start_dataset_sink(
     *,
     trigger: str | None = TRIGGER,
     write_tasks: int | None = None,
+    retention: str | None = None,
 ) -> StreamingQuery:
     """Append gated rows to a Parquet dataset, exactly once.
 
     ``trigger=None`` works off what is there and stops. Files are partitioned by event
     date and gate, so reading one gate from a time on skips all other files.
+
+    The sink's log lists every file it ever wrote. ``retention`` (such as "30d") lets
+    it forget older ones, so that a stream can run for years; publish before that.
     """
     if write_tasks:
         rows = spread_for_writing(rows, write_tasks)
@@ -75,6 +79,8 @@ def start_dataset_sink(
         .option("path", path)
         .option("checkpointLocation", checkpoint)
     )
+    if retention:
+        writer = writer.option("retention", retention)
     return _triggered(writer, trigger).start()
 
 

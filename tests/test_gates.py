@@ -61,6 +61,7 @@ CASES = [
     ("more than seven days old", but(timestamp=NOW - 7 * DAY_MS - 1), "ANOMALY", 0.8),
     ("old with empty readings", but(readings={}, timestamp=0), "ANOMALY", 0.8),
     ("broken clock", but(timestamp=9_223_372_036_854_775_807), "ANOMALY", 0.8),
+    ("broken clock, past", but(timestamp=-9_223_372_036_854_775_808), "ANOMALY", 0.8),
     ("time missing", but(timestamp="absent"), "INDETERMINATE", None),
     ("time missing, bad metric", but(timestamp=None, readings={"temperature": 99}), "ANOMALY", 0.8),
     ("unknown type", but(device_type="door", readings={}), "PASSED", 0.0),

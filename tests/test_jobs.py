@@ -33,7 +33,16 @@ def test_full_refresh_twice_gives_the_same_tables(spark, tiny):
         run_models(spark, store, "models_test", names=["nothing"])
 
 
-def test_command_line(spark, tiny, tmp_path, capsys):
+@pytest.fixture
+def restored(spark):
+    """The command line sets session defaults; undo them for the tests that follow."""
+    before = {key: spark.conf.get(key, None) for key in session.DEFAULTS}
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_command_line(spark, tiny, tmp_path, capsys, restored):
     inbox = tmp_path / "inbox"
     events.to_messages(events.read_events(spark, tiny)).write.parquet(str(inbox))
     root = ["--root", str(tmp_path / "data"), "--branch", "try-out"]
@@ -42,7 +51,7 @@ def test_command_line(spark, tiny, tmp_path, capsys):
     cli.main([*root, "create-tables"])
     cli.main([*root, "list-tables"])
     assert "validated_telemetry" in capsys.readouterr().out
-    cli.main([*root, "ingest", "--files", str(inbox), "--once"])
+    cli.main([*root, "ingest", "--files", str(inbox), "--once", "--retention", "30d", "--rollup"])
     cli.main([*root, "publish"])
     branch = Branch(str(tmp_path / "data"), "try-out")
     assert spark.read.parquet(branch.landing).count() == 1000
