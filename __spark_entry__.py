@@ -7,6 +7,8 @@ covers the 30 days of the data.
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
 import os
 import sys
 import uuid
@@ -388,9 +390,19 @@ def entry(spark: SparkSession) -> DataFrame:
     return device_models.device_health(FrameStore(gated), AS_OF, WIDE)
 
 
+def _training_data(name: str) -> dict:
+    """What the training-data queries add to ``queries`` or ``oracle_sql``, where installed."""
+    found: dict = {}
+    for module in ("gaugeflow.llm", "corpus_pipeline"):
+        if importlib.util.find_spec(module) is not None:
+            where = f"{module}.queries" if module == "gaugeflow.llm" else module
+            found |= getattr(importlib.import_module(where), name)()
+    return found
+
+
 def queries() -> dict[str, Query]:
     """Every query by name."""
-    return {
+    own: dict[str, Query] = {
         "q_envelope_parse": q_envelope_parse,
         "q_encode_roundtrip": q_encode_roundtrip,
         "q_route_counts": q_route_counts,
@@ -440,10 +452,11 @@ def queries() -> dict[str, Query]:
         "q_published_dates": q_published_dates,
         "q_stream_hourly_aggregates": q_stream_hourly_aggregates,
     }
+    return own | _training_data("queries")
 
 
 def oracle_sql() -> dict[str, str]:
     """The same results as DuckDB SQL over the same tables."""
     from oracle_queries import oracle_sql as sql
 
-    return sql()
+    return sql() | _training_data("oracle_sql")
