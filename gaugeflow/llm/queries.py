@@ -9,7 +9,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.llm import packing, quality_classifier, quality_rules, toxicity, warc
+from gaugeflow.llm import (
+    fingerprints,
+    packing,
+    quality_classifier,
+    quality_rules,
+    toxicity,
+    warc,
+)
 from gaugeflow.session import shared_dir
 
 
@@ -53,6 +60,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(documents, model, ["doc_id"])
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edit_check(spark, table(spark, sf_dir, "documents"))
+
+
 def held_out() -> Column:
     remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
     return F.coalesce(remainder == 1, F.lit(False))
@@ -72,6 +83,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_warc": op2_warc,
         "op4_toxicity": op4_toxicity,
         "op7_quality_rules": op7_quality_rules,
+        "op8_fingerprints": op8_fingerprints,
         "op10_quality_classifier": op10_quality_classifier,
     }
 
