@@ -3,9 +3,9 @@
 Each shingle of five words is hashed once. The high bits of a hash choose one of the bins and
 the smallest hash of a bin stays; sorting a text's hashes brings a bin's smallest to the front
 of its run. An empty bin takes the hash of another: it asks the bins in an order of its own,
-fixed by a hash of both numbers, until one is not empty (optimal densification; the order
-makes the first non-empty bin the one of least rank). Of every bin the low-order bits are
-stored, packed as text, and likeness is corrected for bits that agree by chance.
+fixed by hashes of its number, until one is not empty (optimal densification). Of every bin
+low-order bits are stored, packed as text, and likeness is corrected for bits that agree by
+chance.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ BIN_BITS = 7
 BINS = 1 << BIN_BITS
 STORED_BITS = 4
 SHINGLE_WORDS = 5
+PROBES = 4
 SEPARATORS = r"[\x20\x09-\x0D]+"
 
 
@@ -30,39 +31,50 @@ def bin_of(value: Column) -> Column:
 def with_bits(rows: DataFrame, text: str, name: str) -> DataFrame:
     """``rows`` with ``name``: the stored bits of each bin, or no bits for a text without words.
 
-    A text of one to four words is a single shingle.
+    A text of one to four words is a single shingle. Steps that later steps look into are
+    computed once, see ``evaluated_once``.
     """
-    split = F.filter(F.split(text, SEPARATORS), lambda w: w != "")
-    rows = rows.withColumn("_words", evaluated_once(split))
+    trimmed = F.btrim(F.col(text), F.lit(" \t\n\x0b\f\r"))
+    words = F.transform(F.split(trimmed, SEPARATORS), lambda w: F.xxhash64(w))
+    none = F.array().cast("array<bigint>")
+    words = F.when(trimmed != "", words).otherwise(none)
+    rows = rows.withColumn("_words", evaluated_once(words))
     words = F.col("_words")
     last = F.greatest(F.size(words) - SHINGLE_WORDS, F.lit(0))
     shingle = lambda i: F.xxhash64(*[F.get(words, i + j) for j in range(SHINGLE_WORDS)])
     hashes = F.when(F.size(words) > 0, F.transform(F.sequence(F.lit(0), last), shingle))
-    none = F.array().cast("array<bigint>")
-    rows = rows.withColumn("_sorted", evaluated_once(F.sort_array(F.coalesce(hashes, none)))).drop("_words")
+    hashes = F.sort_array(F.coalesce(hashes, none))
+    rows = rows.withColumn("_sorted", evaluated_once(hashes)).drop("_words")
     ordered = F.col("_sorted")
     leads = F.filter(
         ordered,
-        lambda h, i: (i == 0) | (bin_of(h) != bin_of(F.get(ordered, i - 1))),
+        lambda h, i: (i == 0) | (bin_of(h.bitwiseXOR(F.get(ordered, i - 1))) != 0),
     )
     rows = rows.withColumn("_least", evaluated_once(leads)).drop("_sorted")
     least = F.col("_least")
-    rows = rows.withColumn("_bins", evaluated_once(F.map_from_arrays(F.transform(least, bin_of), least)))
+    own = F.map_from_arrays(F.transform(least, bin_of), least)
+    rows = rows.withColumn("_map", evaluated_once(own))
+    bins = F.sequence(F.lit(0), F.lit(BINS - 1))
+    found = F.transform(bins, lambda i: F.try_element_at(F.col("_map"), i))
+    rows = rows.withColumn("_bins", evaluated_once(found)).drop("_map")
 
     def value(i: Column) -> Column:
+        own = F.col("_bins")
+        mask = F.lit(BINS - 1).cast("bigint")
+        ask = lambda j: F.xxhash64(i, F.lit(j)).bitwiseAND(mask).cast("int")
+        asked = [F.get(own, ask(j)) for j in range(PROBES)]
+        # If all these are empty, the bin of least rank among those that are not.
         ranked = F.transform(
             least, lambda h: F.struct(F.xxhash64(i, bin_of(h)).alias("rank"), h.alias("value"))
         )
-        own = F.try_element_at(F.col("_bins"), i)
-        return F.coalesce(own, F.array_min(ranked)["value"])
-
-    low = F.lit((1 << STORED_BITS) - 1)
-    bits = F.transform(
-        F.sequence(F.lit(0), F.lit(BINS - 1)),
-        lambda i: value(i).bitwiseAND(low.cast("bigint")).cast("tinyint"),
-    )
-    stored = F.when(F.size(least) > 0, bits).otherwise(F.array().cast("array<tinyint>"))
-    return rows.withColumn(name, evaluated_once(stored)).drop("_least", "_bins")
+        return F.coalesce(F.get(own, i), *asked, F.array_min(ranked)["value"])
+
+    # Mixed with the bin's number, so that bits of one borrowed hash differ between bins.
+    low = F.lit((1 << STORED_BITS) - 1).cast("bigint")
+    stored = lambda i: F.xxhash64(value(i), i).bitwiseAND(low).cast("tinyint")
+    bits = F.when(F.size(least) > 0, F.transform(bins, stored))
+    bits = F.coalesce(bits, F.array().cast("array<tinyint>"))
+    return rows.withColumn(name, evaluated_once(bits)).drop("_least", "_bins")
 
 
 def packed(bits: Column) -> Column:
