@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from gaugeflow.llm import (
     fingerprints,
+    mixing,
     packing,
     quality_classifier,
     quality_rules,
@@ -54,6 +55,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("toxic", (F.col("p_toxic") >= 0.5).cast("int"))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_documents(spark, table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = quality_rules.train(documents, table(spark, sf_dir, "labels"))
@@ -82,6 +87,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_best_fit_packing": op1_best_fit_packing,
         "op2_warc": op2_warc,
         "op4_toxicity": op4_toxicity,
+        "op6_mixing": op6_mixing,
         "op7_quality_rules": op7_quality_rules,
         "op8_fingerprints": op8_fingerprints,
         "op10_quality_classifier": op10_quality_classifier,
@@ -106,4 +112,5 @@ def oracle_sql() -> dict[str, str]:
                    true AS verified
             FROM f
         """,
+        "op6_mixing": mixing.oracle(),
     }
