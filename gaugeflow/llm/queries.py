@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from gaugeflow.llm import (
     fingerprints,
     mixing,
+    near_duplicates,
     packing,
     quality_classifier,
     quality_rules,
@@ -55,6 +56,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("toxic", (F.col("p_toxic") >= 0.5).cast("int"))
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.classes(spark, table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(spark, table(spark, sf_dir, "documents"))
 
@@ -87,6 +92,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_best_fit_packing": op1_best_fit_packing,
         "op2_warc": op2_warc,
         "op4_toxicity": op4_toxicity,
+        "op5_near_duplicates": op5_near_duplicates,
         "op6_mixing": op6_mixing,
         "op7_quality_rules": op7_quality_rules,
         "op8_fingerprints": op8_fingerprints,
