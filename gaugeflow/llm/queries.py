@@ -18,6 +18,7 @@ from gaugeflow.llm import (
     quality_rules,
     toxicity,
     warc,
+    word_repeats,
 )
 from gaugeflow.session import shared_dir
 
@@ -74,6 +75,10 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edit_check(spark, table(spark, sf_dir, "documents"))
 
 
+def op9_word_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_repeats.remove_repeats(spark, table(spark, sf_dir, "documents"))
+
+
 def held_out() -> Column:
     remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
     return F.coalesce(remainder == 1, F.lit(False))
@@ -96,6 +101,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_mixing": op6_mixing,
         "op7_quality_rules": op7_quality_rules,
         "op8_fingerprints": op8_fingerprints,
+        "op9_word_repeats": op9_word_repeats,
         "op10_quality_classifier": op10_quality_classifier,
     }
 
