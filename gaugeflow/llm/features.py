@@ -144,6 +144,7 @@ def map_texts(documents: DataFrame, columns: list[str], score, told: str) -> Dat
             arrays = [batch.column(c) for c in columns] + [pa.array(a) for a in made.values()]
             yield pa.RecordBatch.from_arrays(arrays, names=[*columns, *made])
 
-    kept = ", ".join(f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in columns)
+    fields = [documents.schema[c] for c in columns]
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
     rows = documents.select(*columns, F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, f"{kept}, {told}")

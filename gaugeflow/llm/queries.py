@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow.llm import (
+    byte_repeats,
     fingerprints,
     mixing,
     near_duplicates,
@@ -50,6 +51,10 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_byte_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_repeats.remove_repeats(spark, table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = toxicity.train(documents, table(spark, sf_dir, "labels"))
@@ -96,6 +101,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_best_fit_packing": op1_best_fit_packing,
         "op2_warc": op2_warc,
+        "op3_byte_repeats": op3_byte_repeats,
         "op4_toxicity": op4_toxicity,
         "op5_near_duplicates": op5_near_duplicates,
         "op6_mixing": op6_mixing,
