@@ -14,17 +14,15 @@ windows, once per class, with a hash, and a join finds the earliest document amo
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow.llm import repeats
-from gaugeflow.llm.common import U64, blocks, flat, rolling, row_of, stage
+from gaugeflow.llm.common import U64, flat, rolling, row_of, stage, text_or_empty
 
-GROUP = 16
+GROUP = 24
 GROUP_PATHS = 2000
 NEVER = np.iinfo(np.int64).max
 
@@ -126,9 +124,9 @@ def windows_of_chunk(table: pa.Table) -> pa.Table:
     })
 
 
-def branch_windows(spark: SparkSession, distinct: DataFrame, several: DataFrame) -> DataFrame:
+def branch_windows(spark: SparkSession, branches: DataFrame, several: DataFrame) -> DataFrame:
     """(anchor, path, offsets) of windows that an earlier document has in another path."""
-    rows = distinct.join(several, "anchor")
+    rows = branches.join(several, "anchor")
     total = several.agg(F.coalesce(F.sum("variants"), F.lit(0)).alias("n")).first().n
     groups = 1 + total // GROUP_PATHS
     small = rows.filter(F.col("variants") <= GROUP_PATHS)
@@ -151,82 +149,34 @@ def branch_windows(spark: SparkSession, distinct: DataFrame, several: DataFrame)
     return within.union(hot)
 
 
-def bodies(documents: DataFrame) -> DataFrame:
-    """(doc_id, anchor, start, end, body): ``body`` is the bytes of a path's windows."""
-
-    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches):
-            data, bounds = flat(block.column("text"))
-            counts = np.diff(block.column("starts").offsets.to_numpy())
-            begin = block.column("starts").flatten().to_numpy()
-            end = block.column("ends").flatten().to_numpy()
-            low = np.repeat(bounds[:-1], counts) + begin
-            lengths = end - begin + repeats.WINDOW - 1
-            total = int(lengths.sum())
-            at = np.repeat(low - np.cumsum(lengths) + lengths, lengths) + np.arange(total)
-            offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-            body = pa.Array.from_buffers(
-                pa.binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(data[at])]
-            )
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.repeat(block.column("doc_id").to_numpy(), counts)),
-                block.column("anchors").flatten(), pa.array(begin), pa.array(end), body,
-            ], names=["doc_id", "anchor", "start", "end", "body"])
-
-    return documents.mapInArrow(take, "doc_id long, anchor long, start int, end int, body binary")
-
+def bodies(data: np.ndarray, values: np.ndarray, low: np.ndarray, high: np.ndarray) -> pa.Array:
+    """The bytes of each path's windows."""
+    parts, offsets = repeats.gather(data, low, high - low + repeats.WINDOW - 1)
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(parts)]
+    return pa.Array.from_buffers(pa.binary(), len(low), buffers)
 
-def render(rows: DataFrame, with_text: bool) -> DataFrame:
-    """(doc_id, n_removed, n_spans, kept_sha256, kept) of documents with spans ``found``.
 
-    ``kept`` is the remaining text without what is left of characters cut in two.
-    """
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches):
-            data, bounds = flat(block.column("text"))
-            rows_ = []
-            for i, found in enumerate(block.column("found").to_pylist()):
-                own = data[bounds[i] : bounds[i + 1]]
-                gone = repeats.covered_symbols(found, len(own))
-                kept = own[~gone].tobytes()
-                runs = int(np.count_nonzero(np.diff(gone.astype(np.int8), prepend=0) > 0))
-                text = kept.decode("utf-8", "ignore") if with_text else None
-                rows_.append((int(gone.sum()), runs, hashlib.sha256(kept).hexdigest(), text))
-            columns = list(zip(*rows_)) or [[]] * 4
-            types = [pa.int64(), pa.int64(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays(
-                [block.column("doc_id"), *[pa.array(c, t) for c, t in zip(columns, types)]],
-                names=["doc_id", "n_removed", "n_spans", "kept_sha256", "kept"],
-            )
-
-    return rows.mapInArrow(
-        cut, "doc_id long, n_removed long, n_spans long, kept_sha256 string, kept string"
+def find_spans(spark: SparkSession, rows: DataFrame) -> str:
+    """Files of what repeats in the texts of ``rows``, see ``repeats.span_files``."""
+    copies = repeats.find_copies(spark, rows)
+    paths = repeats.find_paths(spark, rows, copies, symbols, GROUP)
+    distinct, several = repeats.own_paths(spark, paths)
+    branches = repeats.branch_bodies(
+        spark, rows, distinct, several, symbols, GROUP, bodies, "binary"
     )
+    covered = stage(spark, branch_windows(spark, branches, several), "covered")
+    return repeats.span_files(spark, paths, distinct, covered, copies)
 
 
-def find_changes(spark: SparkSession, documents: DataFrame, with_text: bool):
-    """(summary of every row, changes by doc_id); see ``remove_repeats``."""
-    rows = repeats.with_segments(spark, documents)
-    size = F.octet_length("text").cast("long")
-    known = repeats.summaries(spark, rows, size, F.sha2(F.encode("text", "UTF-8"), 256))
-    firsts = repeats.first_of_text(spark, known)
-    copies = known.join(firsts, "text_id").filter("doc_id > first_id")
-    copies = stage(spark, copies.select("segment", "doc_id", "n"), "copies")
-    paths = repeats.find_paths(spark, rows, copies, symbols, GROUP)
-    taken = stage(spark, bodies(paths.select("doc_id", "text", "anchors", "starts", "ends")), "bodies")
-    distinct, several = repeats.own_paths(spark, taken)
-    covered = stage(spark, branch_windows(spark, distinct, several), "covered")
-    places = taken.select(
-        "doc_id", "anchor", "start", "end", F.xxhash64("anchor", "body").alias("path")
-    )
-    found = repeats.spans(places, distinct, covered)
-    changed = render(paths.select("doc_id", "text").join(found, "doc_id"), with_text)
-    gone = copies.filter(F.col("n") >= repeats.WINDOW).select(
-        "doc_id", F.col("n").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"),
-        F.lit(hashlib.sha256(b"").hexdigest()).alias("kept_sha256"), F.lit("").alias("kept"),
-    )
-    return known, changed.union(gone).dropDuplicates(["doc_id"])
+def digests(data: np.ndarray, bounds: np.ndarray, gone) -> dict[str, pa.Array]:
+    rows = []
+    for i, size in enumerate(np.diff(bounds).tolist()):
+        cut = gone(i, size)
+        kept = data[bounds[i] : bounds[i + 1]][~cut].tobytes()
+        runs = int(np.count_nonzero(np.diff(cut.astype(np.int8), prepend=0) > 0))
+        rows.append((size, int(cut.sum()), runs, hashlib.sha256(kept).hexdigest()))
+    names = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return dict(zip(names, map(pa.array, zip(*rows))))
 
 
 def remove_repeats(spark: SparkSession, documents: DataFrame) -> DataFrame:
@@ -237,26 +187,38 @@ def remove_repeats(spark: SparkSession, documents: DataFrame) -> DataFrame:
     count as earlier than each other. A row without doc_id is returned whole. No rows give no
     rows.
     """
-    known, changed = find_changes(spark, documents, with_text=False)
-    nothing = F.lit(0).cast("long")
-    return known.select("doc_id", "n", "whole").join(changed, "doc_id", "left").select(
-        "doc_id", F.col("n").alias("n_bytes"),
-        F.coalesce("n_removed", nothing).alias("n_removed"),
-        F.coalesce("n_spans", nothing).alias("n_spans"),
-        F.coalesce("kept_sha256", "whole").alias("kept_sha256"),
-    )
+    rows = repeats.texts_of(repeats.with_segments(spark, documents))
+    told = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    return repeats.render(rows, find_spans(spark, rows), ["doc_id"], digests, told)
+
+
+def remaining(data: np.ndarray, bounds: np.ndarray, gone) -> dict[str, pa.Array]:
+    """Texts without what repeats, and without what is left of characters cut in two."""
+    texts = []
+    for i, size in enumerate(np.diff(bounds).tolist()):
+        kept = data[bounds[i] : bounds[i + 1]][~gone(i, size)]
+        texts.append(kept.tobytes().decode("utf-8", "ignore"))
+    return {"kept": pa.array(texts, pa.string())}
 
 
 def cleaned(spark: SparkSession, documents: DataFrame) -> DataFrame:
     """``documents`` with repeats removed from ``text``; all other columns as they are.
 
-    A document of which nothing is left goes.
+    A document of which nothing is left goes; one that was empty stays. Null text stays null.
     """
-    _, changed = find_changes(spark, documents, with_text=True)
-    changed = changed.select(
-        F.col("doc_id").alias("_changed_id"), F.col("kept").alias("_kept_text")
+    placed = repeats.with_segments(spark, documents)
+    rows = repeats.texts_of(placed)
+    folder = find_spans(spark, rows)
+    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns if c != "text"]).alias("row")
+    carried = placed.select(
+        F.col("_segment").alias("segment"), F.col("doc_id").cast("long").alias("doc_id"),
+        text_or_empty().alias("text"), F.col("text").isNull().alias("no_text"), row,
+    )
+    carried = carried.withColumn("was_empty", F.col("text") == "")
+    made = repeats.render(
+        carried, folder, ["row", "no_text", "was_empty"], remaining, "kept string"
+    ).filter("was_empty OR kept != ''")
+    text = F.when(~F.col("no_text"), F.col("kept")).alias("text")
+    return made.select(
+        *[text if c == "text" else F.col("row")[c].alias(c) for c in documents.columns]
     )
-    rows = documents.join(changed, documents["doc_id"] == changed["_changed_id"], "left")
-    rows = rows.filter(changed["_kept_text"].isNull() | (changed["_kept_text"] != ""))
-    text = F.coalesce(changed["_kept_text"], documents["text"]).alias("text")
-    return rows.select(*[text if c == "text" else documents[c] for c in documents.columns])

@@ -4,34 +4,58 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow.session import shared_dir
 
 U64 = np.uint64
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 # Separators of words, by contract: space, and the control characters 9 to 13.
 SEPARATOR = np.zeros(256, bool)
 SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
-def stage(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
-    """``rows`` written to the shared folder and read back: computed once, lineage cut.
-
-    The folder goes when the application ends.
-    """
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared one, for the life of the application."""
     path = f"{shared_dir(spark)}/llm/{uuid.uuid4().hex}/{name}"
-    rows.write.parquet(path)
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop.getParent())
+    return path
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a write are removed when it ends, not when the driver next collects
+    garbage: nothing reads them again."""
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
+def stage(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` written to the shared folder and read back: computed once, lineage cut."""
+    path = scratch(spark, name)
+    with shuffles_dropped(spark):
+        rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
+    """The store and path of a folder or file given as path or URI."""
+    return fs.FileSystem.from_uri(uri if uri.startswith("file:") or "://" in uri else f"file://{uri}")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -41,7 +65,7 @@ def text_or_empty(name: str = "text") -> Column:
 
 
 def blocks(batches: Iterator[pa.RecordBatch], name: str = "text") -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of some 4 MB of text; a longer text is a batch of its own."""
+    """The same rows in batches of some 1 MB of text; a longer text is a batch of its own."""
     for batch in batches:
         ends = np.cumsum(np.diff(flat(batch.column(name))[1]))
         begin = 0
@@ -156,6 +180,14 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return out
 
 
+def stretch_hashes(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of ``values[low:high]`` for each stretch; stretches may overlap."""
+    up, down = powers(len(values) + 1)
+    sums = np.zeros(len(values) + 1, U64)
+    np.cumsum((values.astype(U64) + U64(1)) * up[:-1], out=sums[1:])
+    return mix((sums[high] - sums[low]) * down[low] + (high - low).astype(U64))
+
+
 def sums_by_row(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Sum of ``values[bounds[i]:bounds[i + 1]]`` for each i, each summed by itself."""
     out = np.zeros(len(bounds) - 1, values.dtype if values.dtype.kind == "f" else np.int64)

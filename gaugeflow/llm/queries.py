@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,7 +20,7 @@ from gaugeflow.llm import (
     warc,
     word_repeats,
 )
-from gaugeflow.session import shared_dir
+from gaugeflow.llm.common import scratch
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,8 +42,8 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = f"{shared_dir(spark)}/llm/{uuid.uuid4().hex}/archives"
-    manifest = warc.archive_pages(spark, table(spark, sf_dir, "pages"), folder)
+    pages = table(spark, sf_dir, "pages")
+    manifest = warc.archive_pages(spark, pages, scratch(spark, "archives"))
     records = warc.read_archives(warc.spread(spark, manifest), keep_payload=False)
     return records.select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "verified"

@@ -8,30 +8,52 @@ looks at the paths of the other anchors:
 
 1. Each segment of the table (rows of a file that stand together) sends its anchors, sorted
    and packed, to the ranges of hashes they fall in, and learns which occur elsewhere.
-2. Documents with such anchors are kept with the places of their paths. Of equal texts only
-   the first goes on; in all others every window is a repeat.
+2. Paths of such anchors are kept. Of equal texts only the first goes on; in all others every
+   window is a repeat.
 3. Equal paths are counted once: their owner is the smallest doc_id. In other documents all
    windows of the path repeat. Whether windows of the owner repeat one of an even smaller
-   doc_id, in another path of the anchor, is what the operators find out by their methods.
+   doc_id, in another path of the anchor, is what the operators find out by their methods; for
+   this alone the contents of paths are fetched, of owners and where an anchor branches.
+
+Texts are scanned four times and never shuffled: what a segment learns is written to a file
+of its own in the shared folder, and the tasks that scan its rows read that file.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs, parquet
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.llm.common import U64, blocks, flat, rolling, row_of, shuffle_partitions, stage, text_or_empty
+from gaugeflow.llm.common import (
+    U64,
+    blocks,
+    flat,
+    open_folder,
+    rolling,
+    row_of,
+    scratch,
+    shuffle_partitions,
+    shuffles_dropped,
+    stage,
+    stretch_hashes,
+    text_or_empty,
+)
 
 WINDOW = 50
-SEGMENT_ROWS = 2048
+SEGMENT_ROWS = 8192
+HELD_ANCHORS = 1 << 21
 
 # (data, bounds) -> symbols end to end, and the number of each row's first symbol.
 Symbols = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
+# (data, symbols, first windows, ends) -> what the windows of each path hold.
+Bodies = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], pa.Array]
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -58,17 +80,54 @@ def window_anchors(symbols: np.ndarray, first: np.ndarray, group: int):
 
 
 def with_segments(spark: SparkSession, documents: DataFrame) -> DataFrame:
-    """(segment, doc_id, text) with the same segment for a row whenever the files are read."""
+    """``documents`` with ``_segment``, the same for a row whenever the files are read."""
     place = F.xxhash64(
         F.col("_metadata.file_path"), F.floor(F.col("_metadata.row_index") / SEGMENT_ROWS)
-    )
-    text = text_or_empty().alias("text")
-    columns = [place.alias("segment"), F.col("doc_id").cast("long").alias("doc_id"), text]
+    ).alias("_segment")
     try:
-        return documents.select(*columns)
+        return documents.select("*", place)
     except AnalysisException:  # not read from files: write it first
-        rows = documents.select("doc_id", text)
-        return stage(spark, rows, "documents").select(*columns)
+        return stage(spark, documents, "documents").select("*", place)
+
+
+def texts_of(rows: DataFrame) -> DataFrame:
+    """(segment, doc_id, text) of rows with segments; null text is empty."""
+    return rows.select(
+        F.col("_segment").alias("segment"), F.col("doc_id").cast("long").alias("doc_id"),
+        text_or_empty().alias("text"),
+    )
+
+
+def side_files(spark: SparkSession, rows: DataFrame, name: str) -> str:
+    """Writes ``rows``, a file for each segment; the folder."""
+    folder = scratch(spark, name)
+    with shuffles_dropped(spark):
+        rows.repartition("segment").write.partitionBy("segment").parquet(folder)
+    return folder
+
+
+def side_rows(folder: str, segment: int, columns: list[str]) -> pa.Table | None:
+    """What ``side_files`` wrote for a segment."""
+    store, root = open_folder(folder)
+    path = f"{root}/segment={segment}"
+    if store.get_file_info(path).type == fs.FileType.NotFound:
+        return None
+    return parquet.read_table(path, columns=columns, filesystem=store, partitioning=None)
+
+
+def by_segment(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Blocks whose rows are all of one segment."""
+    for block in blocks(batches):
+        segments = block.column("segment").to_numpy()
+        cuts = np.flatnonzero(np.diff(segments)) + 1
+        for a, b in zip([0, *cuts], [*cuts, len(segments)]):
+            if b > a:
+                yield int(segments[a]), block.slice(a, b - a)
+
+
+def mark(data: np.ndarray, bounds: np.ndarray, row: int) -> int:
+    """Tells texts of one doc_id apart."""
+    return zlib.crc32(data[bounds[row] : bounds[row + 1]].tobytes())
 
 
 def send_anchors(rows: DataFrame, symbols: Symbols, group: int, buckets: int) -> DataFrame:
@@ -89,29 +148,24 @@ def send_anchors(rows: DataFrame, symbols: Symbols, group: int, buckets: int) ->
             ("bucket", pa.int32()), ("segment", pa.int64()), ("anchors", pa.binary())
         ])
         now, parts, held = None, [], 0
-        for block in blocks(batches):
-            data, bounds = flat(block.column("text"))
-            values, first = symbols(data, bounds)
+        for segment, block in by_segment(batches):
+            if parts and (segment != now or held > HELD_ANCHORS):
+                yield pa.RecordBatch.from_pylist(list(packed(now, parts)), schema)
+                parts, held = [], 0
+            now = segment
+            values, first = symbols(*flat(block.column("text")))
             owner, anchors = window_anchors(values, first, group)
-            new = np.ones(len(owner), bool)
-            new[1:] = (owner[1:] != owner[:-1]) | (anchors[1:] != anchors[:-1])
-            new &= owner >= 0
-            owner, anchors = owner[new], anchors[new]
-            order = np.lexsort((anchors, owner))
-            owner, anchors = owner[order], anchors[order]
-            new = np.ones(len(owner), bool)
-            new[1:] = (owner[1:] != owner[:-1]) | (anchors[1:] != anchors[:-1])
-            owner, anchors = owner[new], anchors[new]
-            segments = block.column("segment").to_numpy()
-            for segment in dict.fromkeys(segments.tolist()):
-                if (segment != now or held > 1 << 22) and parts:
-                    yield pa.RecordBatch.from_pylist(list(packed(now, parts)), schema)
-                    parts, held = [], 0
-                now = segment
-                own = anchors[segments[owner] == segment]
-                if len(own):
-                    parts.append(own)
-                    held += len(own)
+            for key in ("run", "document"):
+                if key == "document":
+                    order = np.lexsort((anchors, owner))
+                    owner, anchors = owner[order], anchors[order]
+                new = np.ones(len(owner), bool)
+                new[1:] = (owner[1:] != owner[:-1]) | (anchors[1:] != anchors[:-1])
+                new &= owner >= 0
+                owner, anchors = owner[new], anchors[new]
+            if len(anchors):
+                parts.append(anchors)
+                held += len(anchors)
         if parts:
             yield pa.RecordBatch.from_pylist(list(packed(now, parts)), schema)
 
@@ -143,115 +197,222 @@ def shared_anchors(sent: DataFrame) -> DataFrame:
     return sent.groupBy("bucket").applyInArrow(share, "segment long, anchors binary")
 
 
-def paths_of(rows: DataFrame, replies: DataFrame, symbols: Symbols, group: int) -> DataFrame:
-    """(doc_id, text, anchors, starts, ends) of documents with shared anchors.
+class BlockPaths:
+    """The paths of a block of documents, all in order of place."""
+
+    def __init__(self, block: pa.RecordBatch, symbols: Symbols, group: int):
+        self.data, self.bounds = flat(block.column("text"))
+        self.values, self.first = symbols(self.data, self.bounds)
+        owner, anchors = window_anchors(self.values, self.first, group)
+        new = np.ones(len(owner), bool)
+        new[1:] = (owner[1:] != owner[:-1]) | (anchors[1:] != anchors[:-1])
+        self.low = np.flatnonzero(new)
+        self.high = np.append(self.low[1:], len(owner))
+        self.row, self.anchor = owner[self.low], anchors[self.low]
+        self.keep(self.row >= 0)
+
+    def keep(self, chosen: np.ndarray) -> None:
+        for name in ("low", "high", "row", "anchor"):
+            setattr(self, name, getattr(self, name)[chosen])
+
+    def hashes(self) -> np.ndarray:
+        return stretch_hashes(self.values, self.low, self.high + WINDOW - 1).view(np.int64)
 
-    A path is the windows ``start`` to ``end`` (excluded) of one anchor. ``replies`` has a
-    segment's shared anchors and, as ``skip``, its documents that are copies.
+
+def among(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which ``keys`` are in the sorted array ``known``."""
+    if not len(known):
+        return np.zeros(len(keys), bool)
+    return known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys
+
+
+def paths_of(rows: DataFrame, folder: str, symbols: Symbols, group: int) -> DataFrame:
+    """(segment, doc_id, mark, anchor, path, start, end) of paths with shared anchors.
+
+    A path is the windows ``start`` to ``end`` (excluded) of one anchor, ``path`` the hash of
+    their symbols. ``folder`` has a segment's shared anchors and its documents that are copies.
     """
-    kinds = [("doc_id", pa.int64()), ("text", pa.string())]
-    kinds += [("anchors", pa.list_(pa.int64()))]
-    kinds += [(n, pa.list_(pa.int32())) for n in ("starts", "ends")]
-    schema = pa.schema(kinds)
-
-    def find(table: pa.Table, known: pa.Table) -> pa.Table:
-        packed = [x.as_py() for x in known.column("anchors") if x.is_valid]
-        shared = np.unique(np.concatenate([np.frombuffer(p, U64) for p in packed] or [np.zeros(0, U64)]))
-        skip = {x.as_py() for x in known.column("skip") if x.is_valid}
-        out = []
-        if not len(shared):
-            return pa.Table.from_batches([], schema)
-        for block in blocks(table.combine_chunks().to_batches()):
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, shared, skip = None, np.zeros(0, U64), set()
+        for segment, block in by_segment(batches):
+            if segment != now:
+                now, known = segment, side_rows(folder, segment, ["anchors", "doc_id", "mark"])
+                known = known.to_pylist() if known is not None else []
+                packed = [np.frombuffer(r["anchors"], U64) for r in known if r["anchors"] is not None]
+                shared = np.unique(np.concatenate(packed)) if packed else np.zeros(0, U64)
+                skip = {(r["doc_id"], r["mark"]) for r in known if r["anchors"] is None}
+            if not len(shared):
+                continue
+            paths = BlockPaths(block, symbols, group)
             doc_ids = block.column("doc_id").to_pylist()
-            data, bounds = flat(block.column("text"))
-            values, first = symbols(data, bounds)
-            owner, anchors = window_anchors(values, first, group)
-            new = np.ones(len(owner), bool)
-            new[1:] = (owner[1:] != owner[:-1]) | (anchors[1:] != anchors[:-1])
-            begins = np.flatnonzero(new)
-            ends = np.append(begins[1:], len(owner))
-            at = np.minimum(np.searchsorted(shared, anchors[begins]), len(shared) - 1)
-            good = (owner[begins] >= 0) & (shared[at] == anchors[begins])
-            begins, ends = begins[good], ends[good]
-            rows_, keys = owner[begins], anchors[begins].view(np.int64)
-            begins, ends = begins - first[rows_], ends - first[rows_]
-            edges = np.searchsorted(rows_, np.arange(len(doc_ids) + 1))
-            chosen = [
-                i for i in range(len(doc_ids))
-                if edges[i] < edges[i + 1] and doc_ids[i] is not None and doc_ids[i] not in skip
-            ]
-            cut = lambda x: [x[edges[i] : edges[i + 1]] for i in chosen]
-            texts = block.column("text").take(pa.array(chosen, pa.int64())).cast(pa.string())
-            out.append(pa.RecordBatch.from_arrays([
-                pa.array([doc_ids[i] for i in chosen], pa.int64()), texts,
-                pa.array(cut(keys), kinds[2][1]),
-                pa.array(cut(begins.astype(np.int32)), kinds[3][1]),
-                pa.array(cut(ends.astype(np.int32)), kinds[4][1]),
-            ], schema=schema))
-        return pa.Table.from_batches(out, schema)
-
-    told = "doc_id long, text string, anchors array<long>, starts array<int>, ends array<int>"
-    return rows.groupBy("segment").cogroup(replies.groupBy("segment")).applyInArrow(find, told)
-
-
-def summaries(spark: SparkSession, rows: DataFrame, counted: Column, unchanged: Column) -> DataFrame:
-    """(segment, doc_id, text_id, n, whole): a row for each document, without its text."""
-    return stage(spark, rows.select(
-        "segment", "doc_id", F.unhex(F.md5("text")).alias("text_id"),
-        counted.alias("n"), unchanged.alias("whole"),
-    ), "summaries")
+            marks = [mark(paths.data, paths.bounds, i) for i in range(len(doc_ids))]
+            wanted = np.array([
+                d is not None and (d, m) not in skip for d, m in zip(doc_ids, marks)
+            ])
+            paths.keep(wanted[paths.row] & among(paths.anchor, shared))
+            row = pa.array(paths.row)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.full(len(row), segment)),
+                pa.array(doc_ids, pa.int64()).take(row), pa.array(marks, pa.int64()).take(row),
+                pa.array(paths.anchor.view(np.int64)), pa.array(paths.hashes()),
+                pa.array((paths.low - paths.first[paths.row]).astype(np.int32)),
+                pa.array((paths.high - paths.first[paths.row]).astype(np.int32)),
+            ], names=["segment", "doc_id", "mark", "anchor", "path", "start", "end"])
+
+    return rows.mapInArrow(
+        find, "segment long, doc_id long, mark long, anchor long, path long, start int, end int"
+    )
 
 
-def first_of_text(spark: SparkSession, known: DataFrame) -> DataFrame:
-    """(text_id, first_id) of texts that several documents have."""
+def branch_bodies(
+    spark: SparkSession, rows: DataFrame, distinct: DataFrame, several: DataFrame,
+    symbols: Symbols, group: int, bodies: Bodies, body: str,
+) -> DataFrame:
+    """(anchor, path, owner, body) of the paths of anchors that branch, each once."""
+    wanted = distinct.join(several, "anchor").select("path", F.col("owner").alias("doc_id"))
+    places = rows.select("segment", "doc_id").distinct()
+    folder = side_files(spark, wanted.join(places, "doc_id"), "wanted_paths")
+
+    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, asked = None, {}
+        for segment, block in by_segment(batches):
+            if segment != now:
+                now, known, asked = segment, side_rows(folder, segment, ["doc_id", "path"]), {}
+                if known is not None:
+                    ids, keys = (known.column(n).to_numpy() for n in ("doc_id", "path"))
+                    order = np.lexsort((keys, ids))
+                    ids, keys = ids[order], keys[order]
+                    cuts = np.flatnonzero(np.diff(ids)) + 1
+                    groups = zip([0, *cuts], [*cuts, len(ids)])
+                    asked = {int(ids[a]): keys[a:b] for a, b in groups}
+            doc_ids = block.column("doc_id").to_pylist()
+            some = pa.array([i for i, d in enumerate(doc_ids) if d in asked], pa.int64())
+            if not len(some):
+                continue
+            block = block.take(some)
+            doc_ids = block.column("doc_id").to_numpy()
+            paths = BlockPaths(block, symbols, group)
+            keys, chosen = paths.hashes(), np.zeros(len(paths.row), bool)
+            edges = np.searchsorted(paths.row, np.arange(len(doc_ids) + 1))
+            for d, a, b in zip(doc_ids.tolist(), edges[:-1], edges[1:]):
+                chosen[a:b] = among(keys[a:b], asked[d])
+            paths.keep(chosen)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(paths.anchor.view(np.int64)), pa.array(keys[chosen]),
+                pa.array(doc_ids[paths.row]),
+                bodies(paths.data, paths.values, paths.low, paths.high),
+            ], names=["anchor", "path", "owner", "body"])
+
+    found = rows.mapInArrow(fetch, "anchor long, path long, owner long, body " + body)
+    # A document that has a path twice gives it twice.
+    return stage(spark, found, "branch_bodies").dropDuplicates(["anchor", "path"])
+
+
+def gather(values: np.ndarray, low: np.ndarray, lengths: np.ndarray):
+    """Stretches of ``values`` end to end, and their offsets."""
+    offsets = np.concatenate([[0], np.cumsum(lengths)])
+    at = np.repeat(low - offsets[:-1], lengths) + np.arange(offsets[-1])
+    return values[at], offsets.astype(np.int32)
+
+
+def find_copies(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """(segment, doc_id, mark) of documents whose text a smaller doc_id has too."""
+    known = stage(spark, rows.select(
+        "segment", "doc_id", F.unhex(F.md5("text")).alias("text_id"),
+        F.crc32(F.encode("text", "UTF-8")).alias("mark"),
+    ), "texts")
     firsts = known.groupBy("text_id").agg(
         F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id")
-    ).filter("first_id < last_id")
-    return stage(spark, firsts.select("text_id", "first_id"), "first_of_text")
+    ).filter("first_id < last_id").select("text_id", "first_id")
+    # Staged, so that a text which many documents share can be split in the join.
+    copies = known.join(stage(spark, firsts, "first_of_text"), "text_id")
+    return stage(
+        spark, copies.filter("doc_id > first_id").select("segment", "doc_id", "mark"), "copies"
+    )
 
 
 def find_paths(
     spark: SparkSession, rows: DataFrame, copies: DataFrame, symbols: Symbols, group: int
 ) -> DataFrame:
-    """Documents that may hold repeats, with their paths; ``copies`` (segment, doc_id) stay out."""
     buckets = 4 * shuffle_partitions(spark)
-    replies = shared_anchors(send_anchors(rows, symbols, group, buckets))
-    replies = replies.select("segment", "anchors", F.lit(None).cast("long").alias("skip"))
-    skips = copies.select("segment", F.lit(None).cast("binary").alias("anchors"), "doc_id")
-    return stage(spark, paths_of(rows, replies.union(skips), symbols, group), "paths")
-
+    replies = shared_anchors(send_anchors(rows, symbols, group, buckets)).select(
+        "segment", "anchors", F.lit(None).cast("long").alias("doc_id"),
+        F.lit(None).cast("long").alias("mark"),
+    )
+    skips = copies.select("segment", F.lit(None).cast("binary").alias("anchors"), "doc_id", "mark")
+    folder = side_files(spark, replies.union(skips), "shared_anchors")
+    return stage(spark, paths_of(rows, folder, symbols, group), "paths")
 
-def own_paths(spark: SparkSession, paths: DataFrame) -> DataFrame:
-    """(anchor, body, owner, path, branches) of distinct paths from (anchor, body, doc_id).
 
-    ``branches``: whether the anchor has other paths too.
-    """
-    distinct = stage(
-        spark,
-        paths.groupBy("anchor", "body").agg(F.min("doc_id").alias("owner")).withColumn(
-            "path", F.xxhash64("anchor", "body")
-        ),
-        "distinct_paths",
+def own_paths(spark: SparkSession, paths: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(anchor, path, owner, repeated) of distinct paths, and (anchor, variants) where there
+    are several."""
+    told = paths.groupBy("anchor", "path").agg(
+        F.min("doc_id").alias("owner"), (F.min("doc_id") < F.max("doc_id")).alias("repeated")
     )
+    distinct = stage(spark, told, "distinct_paths")
     several = distinct.groupBy("anchor").agg(F.count("*").alias("variants")).filter("variants > 1")
     return distinct, stage(spark, several, "branching")
 
 
-def spans(occurrences: DataFrame, distinct: DataFrame, covered: DataFrame) -> DataFrame:
-    """(doc_id, found): pairs (first window, end) of the windows that repeat, by document.
+def span_files(
+    spark: SparkSession, paths: DataFrame, distinct: DataFrame, covered: DataFrame,
+    copies: DataFrame,
+) -> str:
+    """A folder of ``side_files``: pairs (first window, end) that repeat, by document; null
+    for a copy, of which every window does.
 
     ``covered`` (anchor, path, offsets): windows of the owner's path that an earlier document
     has too.
     """
-    told = distinct.select("anchor", "path", "owner")
-    rows = occurrences.join(told, ["anchor", "path"]).join(covered, ["anchor", "path"], "left")
-    whole = F.array(F.struct(F.col("start").alias("a"), F.col("end").alias("b")))
-    single = F.transform(
-        "offsets", lambda o: F.struct((F.col("start") + o).alias("a"), (F.col("start") + o + 1).alias("b"))
+    rows = paths.select("segment", "doc_id", "mark", "anchor", "path", "start", "end")
+    owned = distinct.filter("repeated").select("anchor", "path", "owner").join(
+        covered, ["anchor", "path"], "full"
     )
+    rows = rows.join(stage(spark, owned, "path_verdicts"), ["anchor", "path"])
+    pair = lambda a, b: F.struct(a.alias("a"), b.alias("b"))
+    whole = F.array(pair(F.col("start"), F.col("end")))
+    single = F.transform("offsets", lambda o: pair(F.col("start") + o, F.col("start") + o + 1))
     found = F.when(F.col("doc_id") > F.col("owner"), whole).otherwise(single)
-    rows = rows.select("doc_id", found.alias("f")).filter("size(f) > 0")
-    return rows.groupBy("doc_id").agg(F.flatten(F.collect_list("f")).alias("found"))
+    rows = rows.select("segment", "doc_id", "mark", found.alias("f")).filter("size(f) > 0")
+    spans = rows.groupBy("segment", "doc_id", "mark").agg(
+        F.flatten(F.collect_list("f")).alias("found")
+    )
+    none = F.lit(None).cast(spans.schema["found"].dataType).alias("found")
+    return side_files(spark, spans.union(copies.select("segment", "doc_id", "mark", none)), "spans")
+
+
+def render(rows: DataFrame, folder: str, columns: list[str], cut, told: str) -> DataFrame:
+    """``columns`` of all rows, and what ``cut(data, bounds, gone)`` makes of each block.
+
+    ``gone(row, count)``: which of a row's ``count`` symbols lie in a window that repeats.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, spans = None, {}
+        for segment, block in by_segment(batches):
+            if segment != now:
+                now, spans = segment, {}
+                known = side_rows(folder, segment, ["doc_id", "mark", "found"])
+                if known is not None:
+                    spans = {(r["doc_id"], r["mark"]): r["found"] for r in known.to_pylist()}
+            data, bounds = flat(block.column("text"))
+            doc_ids = block.column("doc_id").to_pylist()
+
+            def gone(row: int, count: int) -> np.ndarray:
+                found = spans.get((doc_ids[row], mark(data, bounds, row)), [])
+                if found is None:
+                    found = [{"a": 0, "b": count - WINDOW + 1}] if count >= WINDOW else []
+                return covered_symbols(found, count)
+
+            made = cut(data, bounds, gone)
+            arrays = [block.column(c) for c in columns] + list(made.values())
+            yield pa.RecordBatch.from_arrays(arrays, names=[*columns, *made])
+
+    fields = [rows.schema[c] for c in columns]
+    kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in fields)
+    return rows.mapInArrow(run, kept + told)
 
 
 def covered_symbols(found: list[dict], count: int) -> np.ndarray:

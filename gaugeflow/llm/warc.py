@@ -16,11 +16,10 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.llm.common import shuffle_partitions, stage, text_or_empty
+from gaugeflow.llm.common import open_folder, shuffle_partitions, stage, text_or_empty
 
 # Marks and names of the format.
 VERSION = b"WARC/1.0"
@@ -37,11 +36,6 @@ RECORD_SCHEMA = (
 )
 
 
-def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
-    """The store and path of a folder given as path or URI."""
-    return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
-
-
 def mark_revisits(spark: SparkSession, pages: DataFrame, least_bytes: int = 100) -> DataFrame:
     """Columns page_id, url, payload, digest, record_type, refers_to of each page.
 

@@ -11,23 +11,13 @@ places in the documents.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow.llm import repeats
-from gaugeflow.llm.common import (
-    WORD_PATTERN,
-    blocks,
-    flat,
-    rolling,
-    span_hashes,
-    stage,
-    word_spans,
-)
+from gaugeflow.llm.common import rolling, span_hashes, stage, word_spans
 
 GROUP = 8
 
@@ -37,36 +27,16 @@ def words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return span_hashes(data, starts, ends), first
 
 
-def edges(documents: DataFrame) -> DataFrame:
-    """(doc_id, anchor, start, end, body): ``body`` is the hashes of a path's edges."""
-
-    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches):
-            data, bounds = flat(block.column("text"))
-            values, first = words(data, bounds)
-            hashes = rolling(values, repeats.WINDOW).view(np.int64)
-            counts = np.diff(block.column("starts").offsets.to_numpy())
-            end = block.column("ends").flatten().to_numpy()
-            begin = block.column("starts").flatten().to_numpy()
-            base = np.repeat(first[:-1], counts)
-            low, lengths = base + begin, end - begin
-            total = int(lengths.sum())
-            at = np.repeat(low - np.cumsum(lengths) + lengths, lengths) + np.arange(total)
-            offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.repeat(block.column("doc_id").to_numpy(), counts)),
-                block.column("anchors").flatten(), pa.array(begin), pa.array(end),
-                pa.ListArray.from_arrays(pa.array(offsets), pa.array(hashes[at])),
-            ], names=["doc_id", "anchor", "start", "end", "body"])
-
-    return documents.mapInArrow(
-        take, "doc_id long, anchor long, start int, end int, body array<long>"
-    )
+def edges(data: np.ndarray, values: np.ndarray, low: np.ndarray, high: np.ndarray) -> pa.Array:
+    """The hashes of each path's edges."""
+    hashes = rolling(values, repeats.WINDOW).view(np.int64)
+    parts, offsets = repeats.gather(hashes, low, high - low)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(parts))
 
 
-def branch_edges(distinct: DataFrame, several: DataFrame, spark: SparkSession) -> DataFrame:
+def branch_edges(spark: SparkSession, branches: DataFrame) -> DataFrame:
     """(anchor, path, offsets): edges of a path that belong to an earlier document too."""
-    single = distinct.join(several, "anchor").select(
+    single = branches.select(
         "anchor", "path", "owner", F.posexplode("body").alias("offset", "edge")
     )
     least = single.groupBy("anchor", "edge").agg(
@@ -78,27 +48,15 @@ def branch_edges(distinct: DataFrame, several: DataFrame, spark: SparkSession) -
     )
 
 
-def render(rows: DataFrame) -> DataFrame:
-    """(doc_id, n_removed, kept_sha256, kept) of documents with spans ``found``."""
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches):
-            data, bounds = flat(block.column("text"))
-            starts, ends, first = word_spans(data, bounds)
-            removed, kept = [], []
-            for i, found in enumerate(block.column("found").to_pylist()):
-                a, b = first[i], first[i + 1]
-                gone = repeats.covered_symbols(found, b - a)
-                removed.append(int(gone.sum()))
-                left = np.flatnonzero(~gone) + a
-                kept.append(b" ".join(data[s:e].tobytes() for s, e in zip(starts[left], ends[left])))
-            yield pa.RecordBatch.from_arrays([
-                block.column("doc_id"), pa.array(removed, pa.int64()),
-                pa.array([hashlib.sha256(k).hexdigest() for k in kept]),
-                pa.array([k.decode() for k in kept]),
-            ], names=["doc_id", "n_removed", "kept_sha256", "kept"])
-
-    return rows.mapInArrow(cut, "doc_id long, n_removed long, kept_sha256 string, kept string")
+def digests(data: np.ndarray, bounds: np.ndarray, gone) -> dict[str, pa.Array]:
+    starts, ends, first = word_spans(data, bounds)
+    rows = []
+    for i, count in enumerate(np.diff(first).tolist()):
+        cut = gone(i, count)
+        left = first[i] + np.flatnonzero(~cut)
+        kept = b" ".join(data[s:e].tobytes() for s, e in zip(starts[left], ends[left]))
+        rows.append((count, int(cut.sum()), hashlib.sha256(kept).hexdigest()))
+    return dict(zip(("n_words", "n_removed", "kept_sha256"), map(pa.array, zip(*rows))))
 
 
 def remove_repeats(spark: SparkSession, documents: DataFrame) -> DataFrame:
@@ -108,31 +66,14 @@ def remove_repeats(spark: SparkSession, documents: DataFrame) -> DataFrame:
     doc_id. Null texts have no words. Rows of equal doc_id do not count as earlier than each
     other. A row without doc_id is returned whole. No rows give no rows.
     """
-    rows = repeats.with_segments(spark, documents)
-    parts = F.regexp_extract_all("text", F.lit(WORD_PATTERN), F.lit(0))
-    known = repeats.summaries(
-        spark, rows, F.size(parts).cast("long"),
-        F.sha2(F.encode(F.array_join(parts, " "), "UTF-8"), 256),
-    )
-    firsts = repeats.first_of_text(spark, known)
-    copies = known.join(firsts, "text_id").filter("doc_id > first_id")
-    copies = stage(spark, copies.select("segment", "doc_id", "n"), "copies")
+    rows = repeats.texts_of(repeats.with_segments(spark, documents))
+    copies = repeats.find_copies(spark, rows)
     paths = repeats.find_paths(spark, rows, copies, words, GROUP)
-    taken = stage(spark, edges(paths.select("doc_id", "text", "anchors", "starts", "ends")), "edges")
-    distinct, several = repeats.own_paths(spark, taken)
-    covered = stage(spark, branch_edges(distinct, several, spark), "covered")
-    places = taken.select(
-        "doc_id", "anchor", "start", "end", F.xxhash64("anchor", "body").alias("path")
-    )
-    found = repeats.spans(places, distinct, covered)
-    changed = render(paths.select("doc_id", "text").join(found, "doc_id")).drop("kept")
-    nothing = hashlib.sha256(b"").hexdigest()
-    gone = copies.filter(F.col("n") >= repeats.WINDOW).select(
-        "doc_id", F.col("n").alias("n_removed"), F.lit(nothing).alias("kept_sha256")
-    )
-    changed = changed.union(gone).dropDuplicates(["doc_id"])
-    return known.select("doc_id", "n", "whole").join(changed, "doc_id", "left").select(
-        "doc_id", F.col("n").alias("n_words"),
-        F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
-        F.coalesce("kept_sha256", "whole").alias("kept_sha256"),
+    distinct, several = repeats.own_paths(spark, paths)
+    branches = repeats.branch_bodies(
+        spark, rows, distinct, several, words, GROUP, edges, "array<long>"
     )
+    covered = stage(spark, branch_edges(spark, branches), "covered")
+    folder = repeats.span_files(spark, paths, distinct, covered, copies)
+    told = "n_words long, n_removed long, kept_sha256 string"
+    return repeats.render(rows, folder, ["doc_id"], digests, told)
