@@ -7,8 +7,9 @@ gives those of length l + 1, and an interval goes on only where its end was not
 At 50 bytes the search stops. Boundaries still unknown then lie between suffixes that share
 50 bytes or more, so what remains between known boundaries are classes of equal windows.
 
-An anchor with more different paths than a group holds is cut into chunks. These give their
-windows, once per class, with a hash, and a join finds the earliest document among chunks.
+An anchor with more different paths than a group holds is cut into chunks. A chunk settles
+what repeats within it; of each class only the earliest window goes on, with a hash, and a
+join finds an earlier document among the other chunks.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,35 +95,36 @@ def least_by_class(classes: np.ndarray, owners: np.ndarray) -> np.ndarray:
     return least[np.cumsum(np.diff(classes, prepend=-1) > 0) - 1]
 
 
+def lists_by_path(path: np.ndarray, offset: np.ndarray, count: int):
+    """Row lists of ``offset`` for paths 0 to ``count``, and the order the values are in."""
+    order = np.lexsort((offset, path))
+    bounds = np.searchsorted(path[order], np.arange(count + 1)).astype(np.int32)
+    values = pa.array(offset[order].astype(np.int32))
+    return pa.ListArray.from_arrays(pa.array(bounds), values), order
+
+
 def resolve_group(table: pa.Table) -> pa.Table:
     """(anchor, path, offsets): windows of a path that a path of a smaller doc_id has too."""
     path, offset, classes, _, _ = classified(table)
     owners = table.column("owner").to_numpy()[path]
-    hit = np.flatnonzero(least_by_class(classes, owners) < owners)
-    hit = hit[np.lexsort((offset[hit], path[hit]))]
-    chosen, begins = np.unique(path[hit], return_index=True)
-    offsets = np.append(begins, len(hit)).astype(np.int32)
-    return pa.table({
-        "anchor": table.column("anchor").take(pa.array(chosen)),
-        "path": table.column("path").take(pa.array(chosen)),
-        "offsets": pa.ListArray.from_arrays(
-            pa.array(offsets), pa.array(offset[hit].astype(np.int32))
-        ),
-    })
-
-
-def windows_of_chunk(table: pa.Table) -> pa.Table:
-    """(anchor, path, owner, offset, edge): every window, equal hashes within a class."""
+    hit = least_by_class(classes, owners) < owners
+    offsets, _ = lists_by_path(path[hit], offset[hit], table.num_rows)
+    made = table.select(["anchor", "path"]).append_column("offsets", offsets)
+    return made.filter(pc.greater(pc.list_value_length(made.column("offsets")), 0))
+
+
+def resolve_chunk(table: pa.Table) -> pa.Table:
+    """(anchor, path, owner, offsets, open, edges): ``offsets`` as for a group; ``open`` and
+    ``edges`` are the windows that are the earliest of their class here, and their hashes."""
     path, offset, classes, text, at = classified(table)
-    hashes = rolling(text, repeats.WINDOW)[at]
-    begins = np.flatnonzero(np.diff(classes, prepend=-1))
-    number = np.cumsum(np.diff(classes, prepend=-1) > 0) - 1
-    take = lambda name: table.column(name).take(pa.array(path))
-    return pa.table({
-        "anchor": take("anchor"), "path": take("path"), "owner": take("owner"),
-        "offset": pa.array(offset.astype(np.int32)),
-        "edge": pa.array(hashes[begins][number].view(np.int64)),
-    })
+    owners = table.column("owner").to_numpy()[path]
+    hit = least_by_class(classes, owners) < owners
+    offsets, _ = lists_by_path(path[hit], offset[hit], table.num_rows)
+    still, order = lists_by_path(path[~hit], offset[~hit], table.num_rows)
+    hashes = rolling(text, repeats.WINDOW)[at[~hit]][order].view(np.int64)
+    made = table.select(["anchor", "path", "owner"]).append_column("offsets", offsets)
+    made = made.append_column("open", still)
+    return made.append_column("edges", pa.ListArray.from_arrays(still.offsets, pa.array(hashes)))
 
 
 def branch_windows(spark: SparkSession, branches: DataFrame, several: DataFrame) -> DataFrame:
@@ -135,16 +138,25 @@ def branch_windows(spark: SparkSession, branches: DataFrame, several: DataFrame)
         resolve_group, told
     )
     chunk = F.pmod(F.xxhash64("path"), F.ceil(F.col("variants") / GROUP_PATHS)).alias("chunk")
-    single = rows.filter(F.col("variants") > GROUP_PATHS).groupBy("anchor", chunk).applyInArrow(
-        windows_of_chunk, "anchor long, path long, owner long, offset int, edge long"
-    )
-    single = stage(spark, single, "chunk_windows")
+    parts = stage(spark, rows.filter(F.col("variants") > GROUP_PATHS).groupBy(
+        "anchor", chunk
+    ).applyInArrow(
+        resolve_chunk,
+        "anchor long, path long, owner long, offsets array<int>, open array<int>, edges array<long>",
+    ), "chunks")
+    single = parts.select(
+        "anchor", "path", "owner", F.explode(F.arrays_zip("open", "edges")).alias("w")
+    ).select("anchor", "path", "owner", F.col("w.open").alias("offset"), F.col("w.edges").alias("edge"))
     least = single.groupBy("anchor", "edge").agg(
         F.min("owner").alias("least"), F.max("owner").alias("most")
     ).filter("least < most").select("anchor", "edge", "least")
-    hot = single.join(stage(spark, least, "shared_windows"), ["anchor", "edge"])
-    hot = hot.filter("least < owner").groupBy("anchor", "path").agg(
-        F.collect_list("offset").alias("offsets")
+    across = single.join(stage(spark, least, "shared_windows"), ["anchor", "edge"])
+    across = across.filter("least < owner").groupBy("anchor", "path").agg(
+        F.collect_list("offset").alias("found")
+    )
+    hot = parts.select("anchor", "path", "offsets").join(across, ["anchor", "path"], "left").select(
+        "anchor", "path",
+        F.concat("offsets", F.coalesce("found", F.array().cast("array<int>"))).alias("offsets"),
     )
     return within.union(hot)
 
