@@ -109,6 +109,8 @@ def fingerprint(documents: DataFrame) -> DataFrame:
 
 def bucket(key: Column, bounds: list[int]) -> Column:
     """How many of the ascending ``bounds`` are at or below ``key``, found in two steps."""
+    if not bounds:
+        return F.lit(0)
     step = max(1, int(len(bounds) ** 0.5))
     groups = [bounds[i : i + step] for i in range(0, len(bounds), step)]
     heads = F.array(*[F.lit(g[0]).cast("bigint") for g in groups])
