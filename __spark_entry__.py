@@ -323,7 +323,7 @@ def q_battery_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_range_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sensors.rule_breaches(_store(spark, sf_dir), AS_OF, WIDE)
+    return sensors.rule_breaches(_store(spark, sf_dir), AS_OF, None)
 
 
 def q_stuck_sensors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -331,7 +331,7 @@ def q_stuck_sensors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_hourly_sensor_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = sensors.hourly_sensor_aggregates(_store(spark, sf_dir), AS_OF, WIDE)
+    rows = sensors.hourly_sensor_aggregates(_store(spark, sf_dir), AS_OF, None)
     return _rounded(rows, "avg_value", "min_value", "max_value")
 
 
@@ -339,8 +339,10 @@ def q_hourly_sensor_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scratch(spark: SparkSession) -> Branch:
-    """A branch of its own in the folder the cluster shares."""
-    return Branch(f"{shared_dir(spark)}/gaugeflow/{uuid.uuid4().hex}")
+    """A branch of its own in the folder the cluster shares, until the application ends."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/gaugeflow/{uuid.uuid4().hex}")
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(root)
+    return Branch(root.toString())
 
 
 def _streamed(spark: SparkSession, sf_dir: str, faulty: bool = False) -> DataFrame:
@@ -348,9 +350,9 @@ def _streamed(spark: SparkSession, sf_dir: str, faulty: bool = False) -> DataFra
     return ingest.gate_messages(sent, AS_OF, LIVE, LIMITS)
 
 
-def _landed(spark: SparkSession, sf_dir: str) -> Branch:
+def _landed(spark: SparkSession, sf_dir: str, faulty: bool = True) -> Branch:
     branch = _scratch(spark)
-    rows = _streamed(spark, sf_dir, faulty=True)
+    rows = _streamed(spark, sf_dir, faulty)
     ingest.start_dataset_sink(
         rows, branch.landing, branch.checkpoint(), trigger=None
     ).awaitTermination()
@@ -371,13 +373,14 @@ def q_published_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stream_hourly_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hours that a watermark of one day has closed when the stream has caught up."""
-    branch = _scratch(spark)
+    """Hours that the stream has closed, and the open ones from what it landed."""
+    branch = _landed(spark, sf_dir, faulty=False)
     rollup.start_rollup(
         _streamed(spark, sf_dir), branch.rollup, branch.checkpoint("hourly"),
-        delay="1 day", trigger=None,
+        delay=rollup.whole_delay(LIMITS), trigger=None,
     ).awaitTermination()
-    rows = spark.read.parquet(branch.rollup)
+    closed = spark.read.parquet(branch.rollup)
+    rows = rollup.complete(closed, DatasetStore(spark, branch.landing))
     return _rounded(rows, "avg_value", "min_value", "max_value")
 
 

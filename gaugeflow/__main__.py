@@ -40,19 +40,24 @@ def _parser() -> argparse.ArgumentParser:
     stream.add_argument("--min-partitions", type=int, help="least tasks that read the topic")
     stream.add_argument("--max-per-trigger", type=int, help="most offsets or files per batch")
     stream.add_argument("--write-tasks", type=int, help="tasks that write a batch's files")
-    stream.add_argument("--retention", help="how long the landing log keeps files, as 30d")
+    stream.add_argument(
+        "--fail-on-data-loss", action="store_true", help="stop at offsets the broker has lost"
+    )
     stream.add_argument("--rollup", action="store_true", help="also maintain hourly aggregates")
 
     push = commands.add_parser("publish")
     push.add_argument("--to", help="branch to publish to; default: the branch itself")
     push.add_argument("--since-date")
-    push.add_argument("--allow-shrink", action="store_true")
+    push.add_argument("--replace", action="store_true", help="do not merge with what is there")
 
     for name, plans in (("run-models", MODELS), ("query", DASHBOARDS)):
         run = commands.add_parser(name)
         run.add_argument("names", nargs="*", choices=[*plans, []])
         run.add_argument("--as-of-ms", type=int)
         run.add_argument("--source", choices=("published", "landing", "tables"), default="published")
+        if name == "query":
+            run.add_argument("--output", help="folder for whole results, one below it per query")
+            run.add_argument("--rows", type=int, default=100, help="rows to print without --output")
     return parser
 
 
@@ -68,6 +73,7 @@ def _ingest(spark: SparkSession, branch: Branch, args: argparse.Namespace) -> No
             return kafka_messages(
                 spark, args.servers, args.topic,
                 max_offsets_per_trigger=args.max_per_trigger, min_partitions=args.min_partitions,
+                fail_on_data_loss=args.fail_on_data_loss,
             )
         return file_messages(spark, args.files, max_files_per_trigger=args.max_per_trigger)
 
@@ -82,7 +88,7 @@ def _ingest(spark: SparkSession, branch: Branch, args: argparse.Namespace) -> No
         started = [
             ingest.start_dataset_sink(
                 ingest.gate_messages(messages()), branch.landing, branch.checkpoint(),
-                trigger=trigger, write_tasks=args.write_tasks, retention=args.retention,
+                trigger=trigger, write_tasks=args.write_tasks,
             )
         ]
     if args.rollup:
@@ -110,7 +116,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "publish":
         target = Branch(branch.root, args.to, args.catalog) if args.to else branch
         publish(
-            spark, branch, target, since_date=args.since_date, allow_shrink=args.allow_shrink
+            spark, branch, target, since_date=args.since_date, replace=args.replace
         )
     elif args.command == "run-models":
         store = _store(spark, branch, args.source)
@@ -119,8 +125,12 @@ def main(argv: list[str] | None = None) -> None:
         store = _store(spark, branch, args.source)
         as_of = resolve(args.as_of_ms)
         for name in args.names or DASHBOARDS:
+            rows = DASHBOARDS[name](store, as_of)
+            if args.output:
+                rows.write.mode("overwrite").parquet(f"{args.output}/{name}")
+                continue
             print(name)
-            DASHBOARDS[name](store, as_of).show(100, truncate=False)
+            rows.show(args.rows, truncate=False)
 
 
 if __name__ == "__main__":

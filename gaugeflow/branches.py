@@ -1,20 +1,20 @@
 """Branches: isolated copies of the pipeline, and publishing from one to another.
 
 A branch is a namespace and a set of folders. Streams of a branch own its landing
-dataset; published data lives in a dataset of its own, because files added to a folder
-that a stream writes are invisible to readers that follow the stream's log.
+dataset; published data lives in a dataset of its own, in larger files.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.operators.gates import GATES
+from gaugeflow.operators.gates import DATE_FUTURE, DATE_PAST, GATES
 from gaugeflow.schemas import gated
 from gaugeflow.sources.stores import DatasetStore
 
@@ -61,28 +61,26 @@ class AuditError(ValueError):
     """The data of a branch is not fit to publish."""
 
 
-def _counts(rows: DataFrame, name: str) -> DataFrame:
-    return rows.groupBy("event_date").agg(F.count("*").alias(name))
+# What tells one message from another.
+KEY = ["topic", "partition", "offset"]
 
 
-def audit(landing: DataFrame, target: DataFrame | None, allow_shrink: bool = False) -> None:
-    """Raise unless every row has a gate and no published date would lose rows.
-
-    Counts are taken per date in Spark; only the first offending dates reach the driver.
-    """
+def audit(landing: DataFrame) -> None:
+    """Raise unless every row has a known gate."""
     stray = landing.filter(F.col("gate").isNull() | ~F.col("gate").isin(*GATES))
     if not stray.isEmpty():
         raise AuditError("rows without a known gate")
-    if target is None or allow_shrink:
-        return
-    shrunk = (
-        _counts(landing, "offered")
-        .join(_counts(target, "published"), "event_date")
-        .filter(F.col("offered") < F.col("published"))
-    )
-    dates = [str(row.event_date) for row in shrunk.orderBy("event_date").limit(5).collect()]
-    if dates:
-        raise AuditError(f"fewer rows than published for {', '.join(dates)}")
+
+
+def _known(rows: DataFrame) -> DataFrame:
+    """Rows with a whole key; others cannot be told apart."""
+    return rows.filter(" AND ".join(f"`{k}` IS NOT NULL" for k in KEY))
+
+
+def merged(landing: DataFrame, published: DataFrame) -> DataFrame:
+    """``landing``, and what only ``published`` has, by topic, partition and offset."""
+    keys = _known(landing).select(*KEY).distinct()
+    return landing.unionByName(published.join(keys, KEY, "left_anti"))
 
 
 def publish(
@@ -91,25 +89,40 @@ def publish(
     target: Branch | None = None,
     *,
     since_date: str | None = None,
-    allow_shrink: bool = False,
+    replace: bool = False,
 ) -> DatasetStore:
-    """Compact a branch's landing data into the published dataset of ``target``.
+    """Merge a branch's landing data into the published dataset of ``target``.
 
-    The source is the authority for each event date it holds: those dates are replaced,
-    others stay, and repeating a publish gives the same dataset. Published data is
-    partitioned by date alone, so that replacing a date also removes gates it no longer
-    has; within a date rows are sorted by gate and device, so that a reader of one gate
-    skips row groups of the others.
+    Each event date that the landing data touch becomes the union of what is landed and
+    what is published, by topic, partition and offset; other dates stay. Repeating a
+    publish gives the same dataset, and landing data that were cleaned up after a publish
+    take nothing away. ``replace`` makes the landing data the authority for its dates
+    instead. Published data is partitioned by date alone, so that a date is rewritten with
+    all its gates; within a date rows are sorted by gate and device, so that a reader of
+    one gate skips row groups of the others.
 
     Small stream files become files of the advisory size: the rebalance gathers each date
     and splits a large one by its measured size over many tasks. ``since_date`` limits
-    the work to recent event dates.
+    the work to recent event dates; the two partitions for event times far from the clock
+    have no date of their own and always belong to it. The union is written beside the
+    dataset first, then moved in by overwriting its dates.
     """
     target = target or source
-    landing = spark.read.parquet(source.landing).select(*gated().names)
+    landing = DatasetStore(spark, source.landing).rows()
     if since_date is not None:
-        landing = landing.filter(F.col("event_date") >= F.lit(since_date).cast("date"))
-    audit(landing, _existing(spark, target.published), allow_shrink)
+        date = F.col("event_date")
+        ends = [F.lit(d).cast("date") for d in (DATE_PAST, DATE_FUTURE)]
+        landing = landing.filter((date >= F.lit(since_date).cast("date")) | date.isin(*ends))
+    audit(landing)
+    published = None if replace else _existing(spark, target.published)
+    if published is not None:
+        dates = landing.select("event_date").distinct()
+        touched = published.join(dates, "event_date", "left_semi").select(*gated().names)
+        beside = f"{target.root}/publishing/{uuid.uuid4().hex}"
+        merged(landing, touched).write.parquet(beside)
+        landing = spark.read.schema(gated()).parquet(beside)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(beside)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
     (
         landing.hint("rebalance", "event_date")
         .sortWithinPartitions("event_date", "gate", "device_id", "timestamp")

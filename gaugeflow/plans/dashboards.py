@@ -100,7 +100,9 @@ def silent_devices(
     if latest_only:
         known = latest_per_device(store.validated(), "device_type", "metadata")
     else:
-        known = store.validated().select("device_id", "device_type", "metadata").distinct()
+        # Only the silent devices' rows need telling apart.
+        rows = store.validated().select("device_id", "device_type", "metadata")
+        known = rows.join(silent, "device_id", "left_semi").distinct()
     return (
         silent.join(known, "device_id")
         .select(

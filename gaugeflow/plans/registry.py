@@ -21,7 +21,8 @@ MODELS: dict[str, Plan] = {
     "device_metrics_latest": lambda store, as_of: device_models.device_metrics_latest(store),
     "device_health_summary": device_models.device_health,
     "building_energy_dashboard": energy_models.building_energy,
-    "hourly_sensor_aggregates": hourly_sensor_aggregates,
+    # All history: a refresh replaces the table, so a window would drop older hours.
+    "hourly_sensor_aggregates": lambda store, as_of: hourly_sensor_aggregates(store, as_of, None),
 }
 
 DASHBOARDS: dict[str, Plan] = {

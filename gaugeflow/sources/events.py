@@ -31,10 +31,20 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
-def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same table as a file stream, to drive the streaming jobs with."""
-    reader = spark.readStream.schema(_SCHEMA).option("pathGlobFilter", "events.parquet")
-    return reader.parquet(sf_dir)
+def stream_events(
+    spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None
+) -> DataFrame:
+    """The same table, a file or a folder of files, as a file stream."""
+    reader = spark.readStream.schema(_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    table = f"{sf_dir}/events.parquet"
+    path = spark._jvm.org.apache.hadoop.fs.Path(table)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.getFileStatus(path).isDirectory():
+        return reader.parquet(table)
+    # A stream reads folders only.
+    return reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
 def since(events: DataFrame, since_ms: int | None) -> DataFrame:

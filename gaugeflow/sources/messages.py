@@ -27,14 +27,20 @@ def kafka_messages(
     stream: bool = True,
     max_offsets_per_trigger: int | None = None,
     min_partitions: int | None = None,
+    fail_on_data_loss: bool = False,
 ) -> DataFrame:
     """The topic as an endless stream, or as one batch of what it holds now.
 
+    By default offsets that the broker no longer has are skipped; ``fail_on_data_loss``
+    stops the job instead.
+
     ``min_partitions`` splits large topic partitions into several tasks, so that a topic
     with few partitions does not bound the parallelism of parsing.
     """
     reader = spark.readStream if stream else spark.read
     reader = reader.format("kafka").options(**KAFKA_OPTIONS)
+    if fail_on_data_loss:
+        reader = reader.option("failOnDataLoss", "true")
     reader = reader.option("kafka.bootstrap.servers", servers).option("subscribe", topic)
     if stream and max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)

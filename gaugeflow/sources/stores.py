@@ -108,7 +108,9 @@ class DatasetStore(GatedStore):
     """
 
     def __init__(self, spark: SparkSession, path: str, file_format: str = "parquet"):
-        self._rows = spark.read.format(file_format).schema(schemas.gated()).load(path)
+        rows = spark.read.format(file_format).schema(schemas.gated()).load(path)
+        # Landing data have a partition of their own besides.
+        self._rows = rows.select(*schemas.gated().names)
 
     def rows(self, since_ms: int | None = None) -> DataFrame:
         if since_ms is None:

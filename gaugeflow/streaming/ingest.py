@@ -23,6 +23,8 @@ from gaugeflow.sources.messages import parse_envelope
 TRIGGER = "10 seconds"
 
 PARTITIONS = ("event_date", "gate")
+# Partition below the others: stream and batch that landed a row.
+LANDED = "landed"
 
 
 def gate_messages(
@@ -60,27 +62,32 @@ def start_dataset_sink(
     *,
     trigger: str | None = TRIGGER,
     write_tasks: int | None = None,
-    retention: str | None = None,
 ) -> StreamingQuery:
-    """Append gated rows to a Parquet dataset, exactly once.
+    """Append gated rows to a Parquet dataset, each once.
 
     ``trigger=None`` works off what is there and stops. Files are partitioned by event
-    date and gate, so reading one gate from a time on skips all other files.
-
-    The sink's log lists every file it ever wrote. ``retention`` (such as "30d") lets
-    it forget older ones, so that a stream can run for years; publish before that.
+    date and gate, so reading one gate from a time on skips all other files, and below
+    that by stream and batch. A replayed batch has the same rows and replaces its own
+    folders, so repeating it adds nothing; there is no log of files that grows. A reader
+    sees a batch's folders as they are committed.
     """
     if write_tasks:
         rows = spread_for_writing(rows, write_tasks)
-    writer = (
-        rows.writeStream.format("parquet")
-        .outputMode("append")
-        .partitionBy(*PARTITIONS)
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-    )
-    if retention:
-        writer = writer.option("retention", retention)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        # The id of the query is kept in its checkpoint: another stream has another one.
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not stream:
+            raise RuntimeError("a batch without the id of its stream")
+        (
+            batch.withColumn(LANDED, F.lit(f"{stream}-{batch_id}"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*PARTITIONS, LANDED)
+            .parquet(path)
+        )
+
+    writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _triggered(writer, trigger).start()
 
 

@@ -9,7 +9,8 @@ from pyspark.sql.streaming import StreamingQuery
 from gaugeflow.functions.clock import SECOND_MS, utc_seconds
 from gaugeflow.operators import gates
 from gaugeflow.operators.rules import TimeLimits
-from gaugeflow.operators.sensors import by_metric
+from gaugeflow.operators.sensors import by_metric, hourly_sensor_aggregates
+from gaugeflow.sources.stores import TelemetryStore
 from gaugeflow.streaming.ingest import TRIGGER, _triggered
 
 
@@ -77,3 +78,16 @@ def start_rollup(
         .option("checkpointLocation", checkpoint)
     )
     return _triggered(writer, trigger).start()
+
+
+def complete(closed: DataFrame, store: TelemetryStore) -> DataFrame:
+    """Hours that the stream has closed, and the open ones from the gated data.
+
+    The delay of the stream lets no passed row come too late, so an hour is closed once and
+    whole; every hour is in the result once.
+    """
+    hour = ["device_id", "device_type", "metric", "hour"]
+    every = hourly_sensor_aggregates(store, window_ms=None)
+    known = closed.select(*[F.col(c).alias(f"_{c}") for c in hour])
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in hour]
+    return closed.unionByName(every.join(known, same, "left_anti"))

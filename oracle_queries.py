@@ -293,7 +293,7 @@ DECLARED = [
 def _range_rules() -> str:
     parts = [
         f"select device_type, '{m}' as metric from g where event_id is not null "
-        f"and ts_ms>={AS_OF - WIDE} and device_type='{d}' and (\"{m}\"<{lo} or \"{m}\">{hi})"
+        f"and device_type='{d}' and (\"{m}\"<{lo} or \"{m}\">{hi})"
         for d, m, lo, hi in DECLARED
     ]
     union = "\n union all ".join(parts)
@@ -429,7 +429,7 @@ def oracle_sql() -> dict[str, str]:
                 order by battery_level, ts_ms desc, event_id desc limit 20) x""",
         "q_range_rules": _range_rules(),
         "q_stuck_sensors": _stuck(),
-        "q_hourly_sensor_aggregates": _hourly(f"ts_ms>={AS_OF - WIDE}"),
+        "q_hourly_sensor_aggregates": _hourly("true"),
         "q_stream_route_counts": f"""{_faulty()} select gate,
           case when gate in ('SCHEMA','INDETERMINATE') then reason end as reason,
           count(*) row_count from f group by 1,2""",
@@ -437,7 +437,5 @@ def oracle_sql() -> dict[str, str]:
           cast(cast({_time(f"case when fault in (0,1) then {AS_OF} else ts_ms end")} as date)
             as varchar) event_date,
           gate, count(*) row_count from f group by 1,2""",
-        "q_stream_hourly_aggregates": _hourly(
-            f"ts_ms//{HOUR}*{HOUR}+{HOUR} <= (select max(ts_ms) from v) - {DAY}"
-        ),
+        "q_stream_hourly_aggregates": _hourly("true"),
     }

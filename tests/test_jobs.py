@@ -51,7 +51,7 @@ def test_command_line(spark, tiny, tmp_path, capsys, restored):
     cli.main([*root, "create-tables"])
     cli.main([*root, "list-tables"])
     assert "validated_telemetry" in capsys.readouterr().out
-    cli.main([*root, "ingest", "--files", str(inbox), "--once", "--retention", "30d", "--rollup"])
+    cli.main([*root, "ingest", "--files", str(inbox), "--once", "--rollup"])
     cli.main([*root, "publish"])
     branch = Branch(str(tmp_path / "data"), "try-out")
     assert spark.read.parquet(branch.landing).count() == 1000
@@ -61,6 +61,8 @@ def test_command_line(spark, tiny, tmp_path, capsys, restored):
     cli.main([*root, "run-models", "device_metrics_latest", *at])
     assert "device_metrics_latest" in capsys.readouterr().out
     assert spark.catalog.tableExists("dbt_models.device_metrics_latest")
+    cli.main([*root, "query", "data_quality", *at, "--output", str(tmp_path / "whole")])
+    assert "record_count" in spark.read.parquet(str(tmp_path / "whole" / "data_quality")).columns
     cli.main([*root, "query", *at])
     shown = capsys.readouterr().out
     assert all(name in shown for name in DASHBOARDS)
