@@ -7,6 +7,7 @@ covers the 30 days of the data.
 
 from __future__ import annotations
 
+import functools
 import importlib
 import importlib.util
 import os
@@ -19,14 +20,16 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from gaugeflow import tables
 from gaugeflow.branches import Branch, publish
 from gaugeflow.functions.clock import DAY_MS, HOUR_MS
 from gaugeflow.operators import contract, dead_letter, gates, sensors
 from gaugeflow.operators.rules import LIVE, TimeLimits, out_of_range, out_of_time
 from gaugeflow.plans import dashboards, device_models, energy_models
+from gaugeflow.plans.registry import run_models
 from gaugeflow.session import shared_dir
 from gaugeflow.sources import events, messages
-from gaugeflow.sources.stores import DatasetStore, EventsStore, FrameStore
+from gaugeflow.sources.stores import DatasetStore, EventsStore, FrameStore, TableStore
 from gaugeflow.streaming import ingest, rollup
 
 AS_OF = events.AS_OF_MS
@@ -384,6 +387,66 @@ def q_stream_hourly_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(rows, "avg_value", "min_value", "max_value")
 
 
+# ---- catalog tables ----------------------------------------------------------------
+
+
+def _namespace(spark: SparkSession, branch: Branch) -> str:
+    """A namespace of its own, with its tables among the branch's folders."""
+    name = f"gaugeflow_{uuid.uuid4().hex}"
+    tables.create_namespace(spark, name, f"{branch.root}/tables")
+    return name
+
+
+def q_table_sink_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages through the streaming sink of separate tables, then counted from those."""
+    branch = _scratch(spark)
+    namespace = _namespace(spark, branch)
+    tables.create_tables(spark, namespace)
+    ingest.start_table_sink(
+        _streamed(spark, sf_dir, faulty=True), namespace, branch.checkpoint("tables"), trigger=None
+    ).awaitTermination()
+    store = TableStore(spark, namespace)
+    parts = [
+        ("raw_telemetry", store.raw(), "device_type"),
+        ("validated_telemetry", store.validated(), "device_type"),
+        ("anomaly_alerts", store.anomalies(), "device_type"),
+        ("dead_letter_queue", store.dead_letters(), "gate"),
+    ]
+    counted = [
+        rows.groupBy(F.lit(name).alias("table_name"), F.col(kind).alias("kind")).agg(
+            F.count("*").alias("row_count")
+        )
+        for name, rows, kind in parts
+    ]
+    return functools.reduce(DataFrame.unionByName, counted)
+
+
+# One count of each model.
+MODEL_COUNTS = {
+    "device_summary_simple": "total_readings",
+    "device_metrics_latest": "battery_level",
+    "device_health_summary": "health_score",
+    "building_energy_dashboard": "meter_count",
+    "hourly_sensor_aggregates": "reading_count",
+}
+
+
+def q_materialised_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All models refreshed as tables, twice over, then rows and a sum of each table."""
+    namespace = _namespace(spark, _scratch(spark))
+    for _ in range(2):
+        run_models(spark, _store(spark, sf_dir), namespace, AS_OF)
+    found = [
+        spark.read.table(f"{namespace}.{model}").agg(
+            F.lit(model).alias("model"),
+            F.count("*").alias("row_count"),
+            F.sum(count).cast("bigint").alias("total"),
+        )
+        for model, count in MODEL_COUNTS.items()
+    ]
+    return functools.reduce(DataFrame.unionByName, found)
+
+
 # ---- contract ----------------------------------------------------------------------
 
 
@@ -454,6 +517,8 @@ def queries() -> dict[str, Query]:
         "q_stream_route_counts": q_stream_route_counts,
         "q_published_dates": q_published_dates,
         "q_stream_hourly_aggregates": q_stream_hourly_aggregates,
+        "q_table_sink_routes": q_table_sink_routes,
+        "q_materialised_models": q_materialised_models,
     }
     return own | _training_data("queries")
 

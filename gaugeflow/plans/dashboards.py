@@ -44,16 +44,26 @@ def anomaly_top_devices(
 ) -> DataFrame:
     """Devices with the most anomalies and the anomaly types they reported.
 
-    A row without a reported type contributes NULL to the array.
+    A row without a reported type contributes NULL to the array. Rows are first counted per
+    device and type, so that only the few types of a device are collected.
     """
-    return (
+    typed = (
         store.anomalies(resolve(as_of_ms) - window_ms)
-        .groupBy("device_id", "device_type")
+        .groupBy("device_id", "device_type", F.col("metadata.anomaly_type").alias("_type"))
         .agg(
-            F.count("*").alias("anomaly_count"),
-            F.avg("anomaly_score").alias("avg_anomaly_score"),
-            F.max("anomaly_score").alias("max_anomaly_score"),
-            distinct_values("metadata.anomaly_type").alias("anomaly_types"),
+            F.count("*").alias("_rows"),
+            F.sum("anomaly_score").alias("_score"),
+            F.count("anomaly_score").alias("_scored"),
+            F.max("anomaly_score").alias("_max"),
+        )
+    )
+    return (
+        typed.groupBy("device_id", "device_type")
+        .agg(
+            F.sum("_rows").alias("anomaly_count"),
+            F.try_divide(F.sum("_score"), F.sum("_scored")).alias("avg_anomaly_score"),
+            F.max("_max").alias("max_anomaly_score"),
+            distinct_values("_type").alias("anomaly_types"),
         )
         .orderBy(F.desc("anomaly_count"), F.asc("device_id"), F.asc("device_type"))
         .limit(limit)

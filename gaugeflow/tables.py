@@ -15,8 +15,10 @@ TABLES = {
 }
 
 
-def create_namespace(spark: SparkSession, namespace: str) -> None:
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {namespace}")
+def create_namespace(spark: SparkSession, namespace: str, location: str | None = None) -> None:
+    """Create a namespace if it is missing; its tables lie in ``location``, or the warehouse."""
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {namespace}{where}")
 
 
 def create_tables(spark: SparkSession, namespace: str, file_format: str = "parquet") -> list[str]:
@@ -48,5 +50,21 @@ def drop_tables(spark: SparkSession, namespace: str) -> None:
 
 
 def materialise(rows: DataFrame, table: str, file_format: str = "parquet") -> None:
-    """Replace a table by a query's result."""
-    rows.write.format(file_format).mode("overwrite").saveAsTable(table)
+    """Replace a table by a query's result.
+
+    The result is written whole before it takes the table's name, so a failed run leaves the
+    table as it was. A table of a named catalog is replaced by that catalog in one step.
+    """
+    namespace, _, name = table.rpartition(".")
+    if "." in namespace:
+        rows.writeTo(table).using(file_format).createOrReplace()
+        return
+    spark = rows.sparkSession
+    fresh, former = f"{namespace}.{name}__new", f"{namespace}.{name}__old"
+    spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+    rows.write.format(file_format).saveAsTable(fresh)
+    spark.sql(f"DROP TABLE IF EXISTS {former}")
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} RENAME TO {former}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+    spark.sql(f"DROP TABLE IF EXISTS {former}")

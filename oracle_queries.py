@@ -323,6 +323,32 @@ select device_id, device_type, metric, {_hour('ts_ms')} as hour, count(*) readin
 from x where {where} group by 1,2,3,4"""
 
 
+def _table_routes() -> str:
+    kind = "case when fault not in (0,3) then device_type end"
+    return f"""{_faulty()}
+select 'raw_telemetry' table_name, {kind} kind, count(*) row_count from f group by 2
+union all select 'validated_telemetry', {kind}, count(*) from f where gate='PASSED' group by 2
+union all select 'anomaly_alerts', {kind}, count(*) from f where gate='ANOMALY' group by 2
+union all select 'dead_letter_queue', gate, count(*) from f
+  where gate in ('SCHEMA','INDETERMINATE') group by 2"""
+
+
+def _models(found: dict[str, str]) -> str:
+    """Rows and a sum of each model, from the statements of the models themselves."""
+    counts = {
+        "device_summary_simple": ("q_device_summary", "total_readings"),
+        "device_metrics_latest": ("q_device_metrics_latest", "battery_level"),
+        "device_health_summary": ("q_device_health_24h", "health_score"),
+        "building_energy_dashboard": ("q_building_energy_1h", "meter_count"),
+        "hourly_sensor_aggregates": ("q_hourly_sensor_aggregates", "reading_count"),
+    }
+    return " union all ".join(
+        f"select '{model}' as model, count(*) as row_count, cast(sum({column}) as bigint) as total "
+        f"from ({found[query]}) {query}"
+        for model, (query, column) in counts.items()
+    )
+
+
 def _map_extract() -> str:
     columns = ", ".join(
         f"count({m}) as n_{m.strip(chr(34))}, round(sum({m}),6) as sum_{m.strip(chr(34))}"
@@ -334,7 +360,7 @@ def _map_extract() -> str:
 def oracle_sql() -> dict[str, str]:
     base = _gated()
     routes = "select gate, count(*) as row_count from g group by 1"
-    return {
+    found = {
         "q_envelope_parse": f"""{base} select {FLAT}, device_id as kafka_key,
           'iot-telemetry' as topic, cast(u%3 as int) as partition, eid as "offset",
           ts_ms as kafka_ms from g""",
@@ -438,4 +464,6 @@ def oracle_sql() -> dict[str, str]:
             as varchar) event_date,
           gate, count(*) row_count from f group by 1,2""",
         "q_stream_hourly_aggregates": _hourly("true"),
+        "q_table_sink_routes": _table_routes(),
     }
+    return found | {"q_materialised_models": _models(found)}

@@ -33,6 +33,18 @@ def test_full_refresh_twice_gives_the_same_tables(spark, tiny):
         run_models(spark, store, "models_test", names=["nothing"])
 
 
+def test_a_failed_refresh_leaves_the_table(spark):
+    tables.create_namespace(spark, "refresh_test")
+    tables.materialise(spark.range(3), "refresh_test.kept")
+    failing = spark.range(5).select(F.raise_error(F.lit("no")).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="no"):
+        tables.materialise(failing, "refresh_test.kept")
+    assert spark.read.table("refresh_test.kept").count() == 3
+    tables.materialise(spark.range(7), "refresh_test.kept")
+    assert spark.read.table("refresh_test.kept").count() == 7
+    assert tables.list_tables(spark, "refresh_test") == ["kept"]
+
+
 @pytest.fixture
 def restored(spark):
     """The command line sets session defaults; undo them for the tests that follow."""
