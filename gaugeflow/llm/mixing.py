@@ -93,15 +93,18 @@ def budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
     """(domain, lang, source, leaf_tokens, budget): one row for each leaf of the tree."""
     sums = leaves.groupBy(*LEVELS).agg(F.sum("tokens").alias("leaf_tokens"))
     sums = sums.withColumn("cap", F.col("leaf_tokens") * mix.epochs)
-    whole = sums.agg(F.coalesce(F.sum("leaf_tokens"), F.lit(0)).alias("all_tokens"))
     up, down = mix.share
-    total = whole.select(F.expr(f"all_tokens * {up} div {down}").alias("budget"))
-    given, parents = total, []
+    given, parents = None, []
     for level in LEVELS:
         keys = [*parents, level]
-        caps = sums.groupBy(*keys).agg(F.sum("cap").alias("cap"))
-        # ``total`` is one row; below it children join the budget of their parent.
-        nodes = caps.join(given, parents) if parents else caps.crossJoin(given)
+        caps = sums.groupBy(*keys).agg(
+            F.sum("cap").alias("cap"), F.sum("leaf_tokens").alias("_tokens")
+        )
+        if parents:
+            nodes = caps.join(given, parents)
+        else:  # the few domains, whose tokens add up to the whole
+            nodes = caps.withColumn("_all", F.sum("_tokens").over(Window.partitionBy()))
+            nodes = nodes.withColumn("budget", F.expr(f"_all * {up} div {down}"))
         weight = choose(F.col(level), mix.weights.get(level, {}), mix.other)
         given = share_out(nodes, parents, level, weight).select(*keys, "budget")
         parents = keys
