@@ -1,8 +1,8 @@
 """Contract check on raw message text: which fields are missing, null or mistyped.
 
 The typed parse cannot answer this, because an absent field and a field of the wrong type
-both come out as NULL. The text is parsed once into a variant and each field is looked up
-in it with its own type name.
+both come out as NULL. The text is parsed once into a variant and its objects are taken
+apart once, into maps; each field is looked up there by its type name.
 """
 
 from __future__ import annotations
@@ -15,15 +15,22 @@ from pyspark.sql import functions as F
 from gaugeflow.functions.once import evaluated_once
 
 MISSING, NULL, MISTYPED, UNREADABLE = "missing", "null", "mistyped", "unreadable"
+UNKNOWN = "unknown"
 
 
 @dataclass(frozen=True)
 class Field:
-    """A field every message must have, or every message of one device type."""
+    """A field every message must have, or every message of one device type.
+
+    An ``optional`` field may be absent or null; its type is checked where it is present.
+    ``values`` are the texts allowed, if not all are.
+    """
 
     path: str
     kinds: tuple[str, ...]
     device_type: str | None = None
+    optional: bool = False
+    values: tuple[str, ...] = ()
 
 
 _TEXT = ("STRING",)
@@ -31,42 +38,77 @@ _WHOLE = ("BIGINT",)
 _NUMBER = ("BIGINT", "DECIMAL", "DOUBLE")
 _OBJECT = ("OBJECT",)
 
-# Required fields, and the metrics each device type reports.
-REQUIRED = (
-    Field("event_id", _TEXT),
-    Field("device_id", _TEXT),
-    Field("device_type", _TEXT),
-    Field("timestamp", _WHOLE),
-    Field("readings", _OBJECT),
-)
+# The metrics each device type reports, required and optional fields.
 METRICS = {
     "temperature_sensor": ("temperature", "humidity"),
     "pressure_sensor": ("pressure", "temperature"),
     "vibration_sensor": ("vibration_x", "vibration_y", "vibration_z", "temperature"),
     "energy_meter": ("voltage", "current", "power", "power_factor"),
 }
-CONTRACT = REQUIRED + tuple(
+REQUIRED = (
+    Field("event_id", _TEXT),
+    Field("device_id", _TEXT),
+    Field("device_type", _TEXT, values=tuple(METRICS)),
+    Field("timestamp", _WHOLE),
+    Field("readings", _OBJECT),
+)
+OPTIONAL = tuple(
+    Field(path, kinds, optional=True)
+    for path, kinds in {
+        "metadata": _OBJECT,
+        "metadata.location": _OBJECT,
+        "metadata.location.building": _TEXT,
+        "metadata.location.floor": _WHOLE,
+        "metadata.location.zone": _TEXT,
+        "metadata.firmware_version": _TEXT,
+        "metadata.signal_strength": _WHOLE,
+        "metadata.battery_level": _WHOLE,
+        "metadata.anomaly_detected": ("BOOLEAN", *_TEXT),
+        "metadata.anomaly_type": _TEXT,
+        "metadata.status": _TEXT,
+        "metadata.error": _TEXT,
+    }.items()
+)
+CONTRACT = REQUIRED + OPTIONAL + tuple(
     Field(f"readings.{metric}", _NUMBER, kind)
     for kind, metrics in METRICS.items()
     for metric in metrics
 )
 
 
+def _parents(contract: tuple[Field, ...]) -> list[str]:
+    """Paths of the objects that hold the fields, outer ones first; '' is the message."""
+    held = {""}
+    for field in contract:
+        steps = field.path.split(".")[:-1]
+        held.update(".".join(steps[: i + 1]) for i in range(len(steps)))
+    return sorted(held, key=lambda path: (path.count(".") + bool(path), path))
+
+
+def _value(path: str) -> Column:
+    """The variant at ``path``, by way of the map of the object around it."""
+    parent, _, name = path.rpartition(".")
+    return F.col(f"`_in_{parent}`")[name]
+
+
 def _kind(field: Field) -> Column:
     """Type name of the field's value without its parameters; NULL when absent."""
-    found = F.schema_of_variant(F.try_variant_get("document", f"$.{field.path}", "variant"))
+    found = F.schema_of_variant(_value(field.path))
     name = F.substring_index(F.substring_index(found, "<", 1), "(", 1)
     if field.device_type is None:
         return name
     return F.when(F.col("device_type") == field.device_type, name)
 
 
-def _violation(field: Field, kind: Column) -> Column:
+def _violation(field: Field, kind: Column, text: Column) -> Column:
+    absent = (None, None) if field.optional else (MISSING, NULL)
     verdict = (
-        F.when(kind.isNull(), MISSING)
-        .when(kind == "VOID", NULL)
+        F.when(kind.isNull(), absent[0])
+        .when(kind == "VOID", absent[1])
         .when(~kind.isin(*field.kinds), MISTYPED)
     )
+    if field.values:
+        verdict = verdict.when(~text.isin(*field.values), UNKNOWN)
     if field.device_type is not None:
         verdict = F.when(F.col("device_type") == field.device_type, verdict)
     entry = F.struct(F.lit(field.path).alias("field"), verdict.alias("violation"))
@@ -83,16 +125,27 @@ def violations(messages: DataFrame, contract: tuple[Field, ...] = CONTRACT) -> D
     text = F.col("value").cast("string")
     parsed = messages.select(evaluated_once(F.try_parse_json(text)).alias("document"))
     kinds = {f"_k{i}": field for i, field in enumerate(contract)}
-    looked_up = parsed.withColumn(
+    apart = parsed
+    for path in _parents(contract):
+        whole = _value(path) if path else F.col("document")
+        fields = F.try_variant_get(whole, "$", "map<string,variant>")
+        apart = apart.withColumn(f"_in_{path}", evaluated_once(fields))
+    apart = apart.withColumn(
         "device_type", F.try_variant_get("document", "$.device_type", "string")
-    ).select(
+    )
+    looked_up = apart.select(
         "device_type",
         F.col("document").isNull().alias("_unreadable"),
         *[_kind(field).alias(name) for name, field in kinds.items()],
+        *[
+            F.try_variant_get(_value(field.path), "$", "string").alias(f"{name}_text")
+            for name, field in kinds.items()
+            if field.values
+        ],
     )
     whole = F.struct(F.lit("$").alias("field"), F.lit(UNREADABLE).alias("violation"))
     broken = F.when(F.col("_unreadable"), F.array(whole)).otherwise(
-        F.array_compact(F.array(*[_violation(f, F.col(name)) for name, f in kinds.items()]))
+        F.array_compact(F.array(*[_violation(f, F.col(k), F.col(f"{k}_text")) for k, f in kinds.items()]))
     )
     return looked_up.select("device_type", F.inline(broken))
 
