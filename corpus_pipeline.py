@@ -2,12 +2,13 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the
 columns of ``documents``. Between stages the rows are written to the shared folder and read
-back. Rows without a doc_id pass the filters but cannot be chosen by the mix.
+back. Duplicates and the mix go by row, so rows that repeat a doc_id or have none count as any
+other.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow.llm import (
@@ -17,7 +18,7 @@ from gaugeflow.llm import (
     packing,
     quality_classifier,
 )
-from gaugeflow.llm.common import stage
+from gaugeflow.llm.common import stage, with_rows
 from gaugeflow.llm.queries import held_out, table, vocabulary
 
 
@@ -35,14 +36,18 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near duplicates the document with the least doc_id, once."""
-    named = near_duplicates.classes(spark, docs)
-    best = named.filter("doc_id = class_id").select(F.col("doc_id").alias("_kept_id")).distinct()
-    rows = docs.join(best, docs["doc_id"] == best["_kept_id"])
-    once = Window.partitionBy("_kept_id").orderBy("_kept_id")
-    rows = rows.withColumn("_copy_number", F.row_number().over(once))
-    chosen = rows.filter("_copy_number = 1").select(*[docs[c] for c in docs.columns])
-    return chosen.union(docs.filter(docs["doc_id"].isNull()))
+    """Of each class of near duplicates one row: that with the least doc_id, if any has one.
+
+    Rows with the same doc_id and different texts are told apart like any others.
+    """
+    rows = with_rows(spark, docs)
+    texts = rows.select(F.col("_row").alias("doc_id"), "text")
+    named = near_duplicates.classes(spark, texts).withColumnRenamed("doc_id", "_row")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64(*columns), "_row")
+    ranks = rows.select("_row", first.alias("_first"))
+    best = named.join(ranks, "_row").groupBy("class_id").agg(F.min("_first").alias("_first"))
+    return rows.join(best.select("_first._row"), "_row").select(*columns)
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,9 +58,9 @@ def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each copy of a document that the mix takes; a copy taken in part is whole."""
-    chosen = mixing.mix_documents(spark, docs).select(F.col("doc_id").alias("_chosen_id"))
-    rows = docs.join(chosen, docs["doc_id"] == chosen["_chosen_id"])
-    return rows.select(*[docs[c] for c in docs.columns])
+    rows = with_rows(spark, docs)
+    chosen = mixing.mix_rows(spark, rows, carried=("_row",)).select("_row")
+    return rows.join(chosen, "_row").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,7 +9,8 @@ from contextlib import contextmanager
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gaugeflow.session import shared_dir
@@ -51,6 +52,20 @@ def stage(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def with_rows(spark: SparkSession, documents: DataFrame) -> DataFrame:
+    """``documents`` with ``_row``, a number that no other row has, the same whenever the files
+    are read."""
+    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_index")]
+    try:
+        placed = documents.select("*", *place)
+    except AnalysisException:  # not read from files: write it first
+        placed = stage(spark, documents, "documents").select("*", *place)
+    number = F.row_number().over(Window.orderBy("_file")).cast("long").alias("_number")
+    files = stage(spark, placed.select("_file").distinct().select("_file", number), "files")
+    row = F.shiftleft("_number", 36) + F.col("_index")
+    return placed.join(files, "_file").withColumn("_row", row).drop("_file", "_index", "_number")
+
+
 def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
     """The store and path of a folder or file given as path or URI."""
     return fs.FileSystem.from_uri(uri if uri.startswith("file:") or "://" in uri else f"file://{uri}")

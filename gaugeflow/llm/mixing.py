@@ -51,21 +51,18 @@ def choose(value: Column, names: dict, other) -> Column:
     return out.otherwise(F.lit(other)) if names else F.lit(other)
 
 
-def leaves_of(documents: DataFrame, mix: Mix) -> DataFrame:
-    """(doc_id, domain, lang, source, tokens): words of the whole text count as tokens.
+def leaves_of(documents: DataFrame, mix: Mix, carried: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, domain, lang, source, tokens, _text) and ``carried`` columns, for every row:
+    words of the whole text count as tokens.
 
-    Null texts have no tokens; null languages and sources are the value ''. Rows that repeat
-    a doc_id are one document.
+    Null texts have no tokens; null languages and sources are the value ''.
     """
     words = F.size(F.regexp_extract_all(text_or_empty(), F.lit(WORD_PATTERN), F.lit(0)))
-    rows = documents.select(
+    return documents.select(
         F.col("doc_id").cast("long"),
         choose(F.col("source"), mix.domains, "other").alias("domain"),
         text_or_empty("lang").alias("lang"), text_or_empty("source").alias("source"),
-        words.cast("long").alias("tokens"),
-    )
-    return rows.groupBy("doc_id").agg(F.min(F.struct(*LEVELS, "tokens")).alias("d")).select(
-        "doc_id", "d.*"
+        words.cast("long").alias("tokens"), F.md5(text_or_empty()).alias("_text"), *carried,
     )
 
 
@@ -111,40 +108,60 @@ def budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
     return sums.drop("cap").join(given, list(LEVELS))
 
 
-def select_prefix(spark: SparkSession, leaves: DataFrame, mix: Mix) -> DataFrame:
-    """(doc_id, leaf, epoch, start, tokens, taken): what each leaf takes of its epochs.
+def select_prefix(
+    spark: SparkSession, leaves: DataFrame, mix: Mix, carried: tuple[str, ...] = ()
+) -> DataFrame:
+    """(doc_id, leaf, epoch, start, tokens, taken) and ``carried`` columns: what each leaf takes
+    of its epochs.
 
     ``start`` counts the leaf's tokens before this copy of the document; ``taken`` is less
     than ``tokens`` only for the copy that reaches the budget. Documents without tokens come
     along where the order puts them inside the prefix. A leaf without tokens takes nothing.
+    Rows without a doc_id come last in an epoch, by a key of their text; rows that share a
+    doc_id follow each other by text.
     """
     plan = stage(spark, budgets(leaves, mix).filter("budget > 0"), "leaf_budgets")
     rows = leaves.join(plan, list(LEVELS))
     last = F.expr("(budget - 1) div leaf_tokens")
     rows = rows.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), last)))
-    key = F.md5(F.concat_ws("|", F.lit(mix.seed), F.col("epoch"), F.col("doc_id").cast("string")))
+    epoch = F.concat(F.lit(f"{mix.seed}|"), F.col("epoch").cast("string"), F.lit("|"))
+    key = F.md5(F.concat(epoch, F.col("doc_id").cast("string")))
+    # A letter after the digits puts the keys of texts behind those of ids.
+    key = F.coalesce(key, F.concat(F.lit("g"), F.md5(F.concat(epoch, F.col("_text")))))
     rows = rows.withColumn("_key", key)
-    rows = rows.withColumn("_part", F.substring("_key", 1, KEY_DIGITS))
+    digits = F.when(F.col("doc_id").isNull(), KEY_DIGITS + 1).otherwise(KEY_DIGITS)
+    rows = rows.withColumn("_part", F.substring("_key", F.lit(1), digits))
     group = [*LEVELS, "epoch"]
     parts = rows.groupBy(*group, "_part").agg(F.sum("tokens").alias("_sum"))
     earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select(
         *group, "_part", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before")
     )
-    within = Window.partitionBy(*group, "_part").orderBy("_key", "doc_id")
+    within = Window.partitionBy(*group, "_part").orderBy(
+        "_key", "doc_id", "_text", *carried
+    )
     within = within.rowsBetween(Window.unboundedPreceding, -1)
     own = F.coalesce(F.sum("tokens").over(within), F.lit(0))
     placed = rows.withColumn("_own", own).join(parts, [*group, "_part"])
     start = F.col("epoch") * F.col("leaf_tokens") + F.col("_before") + F.col("_own")
     return placed.withColumn("start", start).filter("start < budget").select(
         "doc_id", *LEVELS, "epoch", "start", "tokens",
-        F.least(F.col("tokens"), F.col("budget") - F.col("start")).alias("taken"),
+        F.least(F.col("tokens"), F.col("budget") - F.col("start")).alias("taken"), *carried,
     )
 
 
-def mix_documents(spark: SparkSession, documents: DataFrame, mix: Mix | None = None) -> DataFrame:
+def mix_rows(
+    spark: SparkSession, documents: DataFrame, mix: Mix | None = None, carried: tuple[str, ...] = ()
+) -> DataFrame:
+    """The mix of all rows, also of those that repeat a doc_id or have none."""
     mix = mix or Mix()
-    return select_prefix(spark, stage(spark, leaves_of(documents, mix), "leaves"), mix)
+    leaves = stage(spark, leaves_of(documents, mix, carried), "leaves")
+    return select_prefix(spark, leaves, mix, carried)
+
+
+def mix_documents(spark: SparkSession, documents: DataFrame, mix: Mix | None = None) -> DataFrame:
+    """As ``mix_rows``, but rows equal in doc_id, text, lang and source are one document."""
+    return mix_rows(spark, documents.select("doc_id", "text", "lang", "source").distinct(), mix)
 
 
 def oracle(mix: Mix | None = None) -> str:

@@ -66,7 +66,7 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_documents(spark, table(spark, sf_dir, "documents"))
+    return mixing.mix_rows(spark, table(spark, sf_dir, "documents"))
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -334,6 +334,43 @@ def test_mix_equals_sql(spark, documents, share):
     assert rows_of(got, *names) == sorted(expected, key=repr)
 
 
+@pytest.fixture(scope="module")
+def repeating(spark, documents, tmp_path_factory):
+    """With rows that repeat a doc_id, in other leaves and in the same, and rows without one."""
+    names = ("doc_id", "text", "lang", "source")
+    rows = [
+        (10_003, "another text under this id", "xx", "src98"), (10_005, "two others", "en", "src1"),
+        (10_008, "third leaf " * 40, "de", "src2"), (10_005, "two words", "en", "src1"),
+        *[(None, f"no id {i}", "en", "src1") for i in range(9)], (None, "no id 3", "en", "src1"),
+        (None, None, "en", "src2"), (None, "leaf of its own", None, "src7"),
+    ]
+    path = str(tmp_path_factory.mktemp("repeating") / "documents.parquet")
+    more = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    documents.select(*names).union(more).repartition(3).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.mark.parametrize("share", [(1, 1), (1, 3), (5, 2)])
+def test_mix_of_the_table_as_it_is_equals_sql(spark, repeating, share):
+    mix = mixing.Mix(share=share)
+    con = duckdb.connect()
+    con.register("documents", repeating.toArrow())
+    names = ("doc_id", "domain", "lang", "source", "epoch", "start", "tokens", "taken")
+    expected = con.sql(f"SELECT {', '.join(names)} FROM ({mixing.oracle(mix)})").fetchall()
+    assert rows_of(mixing.mix_rows(spark, repeating, mix), *names) == sorted(expected, key=repr)
+
+
+def test_registered_mix_equals_its_sql(spark, repeating, tmp_path):
+    repeating.write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.register("documents", repeating.toArrow())
+    names = ("doc_id", "domain", "lang", "source", "epoch", "start", "tokens", "taken")
+    sql = queries.oracle_sql()["op6_mixing"]
+    expected = con.sql(f"SELECT {', '.join(names)} FROM ({sql})").fetchall()
+    got = queries.op6_mixing(spark, str(tmp_path))
+    assert rows_of(got, *names) == sorted(expected, key=repr)
+
+
 def test_siblings_take_a_shortage_before_ancestors(spark):
     rows = [(i, "w " * 10, lang, source) for i, (lang, source) in enumerate(
         [("en", "src0")] * 40 + [("de", "src1")] * 2 + [("en", "src12")] * 40 + [("en", "src17")] * 40

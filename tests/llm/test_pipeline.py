@@ -35,3 +35,25 @@ def test_run_equals_the_stages(spark):
     packed = corpus_pipeline.run(spark, DATA)
     sizes = packed.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max("offset").alias("o"))
     assert sizes.filter("n > 2048 OR o >= n").count() == 0 and packed.count() > 0
+
+
+def test_duplicates_and_mix_go_by_row(spark, tmp_path):
+    """Rows that repeat a doc_id with another text, and rows without one, all come through."""
+    texts = [" ".join(f"w{i}x{j}" for j in range(30)) for i in range(12)]
+    rows = [(i // 2, texts[i]) for i in range(6)] + [(None, text) for text in texts[6:]]
+    copies = [(0, texts[0]), (50, texts[1]), (None, texts[2]), (None, texts[7]), (None, texts[7] + " z")]
+    frame = spark.createDataFrame(
+        [(i, t, "en", "src0", len(t)) for i, t in rows + copies],
+        "doc_id long, text string, lang string, source string, n_chars long",
+    )
+    key = lambda r: (r.doc_id is None, r.doc_id, r.text)
+    for given in (frame.repartition(4), frame.repartition(1)):
+        kept = corpus_pipeline.drop_near_duplicates(spark, given, DATA)
+        texts_kept = sorted((r.doc_id is None, r.doc_id or 0, r.text[:200]) for r in kept.collect())
+        assert len(texts_kept) == len(rows)
+        assert [r for r in texts_kept if not r[0]] == sorted((False, i, t[:200]) for i, t in rows[:6])
+    whole = spark.createDataFrame([(i, t, "en", "src0", len(t)) for i, t in rows], frame.schema)
+    whole.repartition(3).write.parquet(str(tmp_path / "rows"))
+    docs = spark.read.parquet(str(tmp_path / "rows"))
+    mixed = corpus_pipeline.mix_sources(spark, docs, DATA)
+    assert sorted(map(key, mixed.collect()), key=repr) == sorted(map(key, docs.collect()), key=repr)
