@@ -7,7 +7,8 @@ path. Anchors seen in one document only cannot lie in a repeated window; all tha
 looks at the paths of the other anchors:
 
 1. Each segment of the table (rows of a file that stand together) sends its anchors, sorted
-   and packed, to the ranges of hashes they fall in, and learns which occur elsewhere.
+   and packed, to the ranges that a second hash of them falls in (they are minima, so their
+   own values crowd at the low end), and learns which occur elsewhere.
 2. Paths of such anchors are kept. Of equal texts only the first goes on; in all others every
    window is a repeat.
 3. Equal paths are counted once: their owner is the smallest doc_id. In other documents all
@@ -35,6 +36,7 @@ from gaugeflow.llm.common import (
     U64,
     blocks,
     flat,
+    mix,
     open_folder,
     rolling,
     row_of,
@@ -49,6 +51,8 @@ from gaugeflow.llm.common import (
 WINDOW = 50
 SEGMENT_ROWS = 8192
 HELD_ANCHORS = 1 << 21
+# Anchors that a range holds by reckoning: 8 MB packed.
+RANGE_ANCHORS = 1 << 20
 
 # (data, bounds) -> symbols end to end, and the number of each row's first symbol.
 Symbols = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
@@ -130,15 +134,26 @@ def mark(data: np.ndarray, bounds: np.ndarray, row: int) -> int:
     return zlib.crc32(data[bounds[row] : bounds[row + 1]].tobytes())
 
 
+def anchor_ranges(spark: SparkSession, rows: DataFrame, group: int) -> int:
+    """How many ranges the anchors of all texts go to, by the measured size of the texts.
+
+    Of n symbols some 2 n / (width + 1) are the least of ``width`` groups that follow each
+    other, and a text has no more symbols than bytes.
+    """
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first().n
+    anchors = 2 * size // (WINDOW - group + 2)
+    return max(4 * shuffle_partitions(spark), 1 + anchors // RANGE_ANCHORS)
+
+
 def send_anchors(rows: DataFrame, symbols: Symbols, group: int, buckets: int) -> DataFrame:
     """(bucket, segment, anchors): sorted, packed; the low bit marks several documents."""
 
     def packed(segment: int, parts: list[np.ndarray]) -> Iterator[dict]:
         keys, counts = np.unique(np.concatenate(parts), return_counts=True)
-        keys = keys | (counts > 1).astype(U64)
-        edges = np.searchsorted(
-            keys, np.array([(b << 64) // buckets for b in range(buckets)], dtype=U64)
-        )
+        ranges = ((mix(keys) >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int32)
+        order = np.argsort(ranges, kind="stable")
+        keys = (keys | (counts > 1).astype(U64))[order]
+        edges = np.searchsorted(ranges[order], np.arange(buckets))
         for bucket, (a, b) in enumerate(zip(edges, [*edges[1:], len(keys)])):
             if b > a:
                 yield {"bucket": bucket, "segment": segment, "anchors": keys[a:b].tobytes()}
@@ -335,7 +350,7 @@ def find_copies(spark: SparkSession, rows: DataFrame) -> DataFrame:
 def find_paths(
     spark: SparkSession, rows: DataFrame, copies: DataFrame, symbols: Symbols, group: int
 ) -> DataFrame:
-    buckets = 4 * shuffle_partitions(spark)
+    buckets = anchor_ranges(spark, rows, group)
     replies = shared_anchors(send_anchors(rows, symbols, group, buckets)).select(
         "segment", "anchors", F.lit(None).cast("long").alias("doc_id"),
         F.lit(None).cast("long").alias("mark"),

@@ -432,6 +432,22 @@ def larger(spark):
     return spark.read.parquet(f"{data}/documents.parquet"), spark.read.parquet(f"{data}/labels.parquet")
 
 
+@pytest.mark.parametrize(("symbols", "group"), [
+    (byte_repeats.symbols, byte_repeats.GROUP), (word_repeats.words, word_repeats.GROUP),
+])
+def test_anchors_spread_evenly_over_ranges(spark, larger, symbols, group, monkeypatch):
+    rows = repeats.texts_of(repeats.with_segments(spark, larger[0]))
+    sent = repeats.send_anchors(rows, symbols, group, 32)
+    sizes = collections.Counter()
+    for r in sent.collect():
+        sizes[r.bucket] += len(r.anchors) // 8
+    total = sum(sizes.values())
+    assert len(sizes) == 32 and max(sizes.values()) < 1.5 * total / 32
+    # As many ranges as the anchors need, whatever the number of partitions.
+    monkeypatch.setattr(repeats, "RANGE_ANCHORS", 100)
+    assert repeats.anchor_ranges(spark, rows, group) >= total / 100
+
+
 def test_held_out_quality(larger):
     documents, labels = larger
     apart = queries.held_out()
