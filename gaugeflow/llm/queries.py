@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from gaugeflow.llm import (
     byte_repeats,
+    embedding_links,
+    filter_audit,
     fingerprints,
+    merkle,
     mixing,
     near_duplicates,
     packing,
@@ -96,6 +99,19 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    return filter_audit.audit_documents(spark, documents, labels)
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify_documents(spark, table(spark, sf_dir, "documents"))
+
+
+def op13_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_links.link_vectors(spark, table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_best_fit_packing": op1_best_fit_packing,
@@ -108,6 +124,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_fingerprints": op8_fingerprints,
         "op9_word_repeats": op9_word_repeats,
         "op10_quality_classifier": op10_quality_classifier,
+        "op11_filter_audit": op11_filter_audit,
+        "op12_merkle": op12_merkle,
+        "op13_embedding_links": op13_embedding_links,
     }
 
 
@@ -130,4 +149,7 @@ def oracle_sql() -> dict[str, str]:
             FROM f
         """,
         "op6_mixing": mixing.oracle(),
+        "op11_filter_audit": filter_audit.oracle(),
+        "op12_merkle": merkle.oracle(),
+        "op13_embedding_links": embedding_links.oracle(),
     }
