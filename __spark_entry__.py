@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import functools
 import importlib
-import importlib.util
 import os
 import sys
 import uuid
@@ -35,6 +34,8 @@ from gaugeflow.streaming import ingest, rollup
 AS_OF = events.AS_OF_MS
 WIDE = 720 * HOUR_MS
 LIMITS = TimeLimits(max_age_ms=events.MAX_AGE_MS)
+# Batches in which the rollup gets its messages.
+DELIVERIES = 4
 # For the time limits of the gates: an instant with events beyond both of them.
 MID_MONTH = 1_705_708_800_000
 
@@ -376,15 +377,16 @@ def q_published_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stream_hourly_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hours that the stream has closed, and the open ones from what it landed."""
-    branch = _landed(spark, sf_dir, faulty=False)
-    rollup.start_rollup(
-        _streamed(spark, sf_dir), branch.rollup, branch.checkpoint("hourly"),
-        delay=rollup.whole_delay(LIMITS), trigger=None,
+    """Every hour as the stream has folded it, batch by batch, while it landed the messages."""
+    branch = _scratch(spark)
+    sent = f"{branch.root}/messages"
+    _messages(spark, sf_dir).repartition(4 * DELIVERIES).write.parquet(sent)
+    arriving = messages.file_messages(spark, sent, max_files_per_trigger=4)
+    ingest.start_dataset_sink(
+        ingest.gate_messages(arriving, AS_OF, LIVE, LIMITS), branch.landing, branch.checkpoint(),
+        trigger=None, write_tasks=4, hours=branch.rollup,
     ).awaitTermination()
-    closed = spark.read.parquet(branch.rollup)
-    rows = rollup.complete(closed, DatasetStore(spark, branch.landing))
-    return _rounded(rows, "avg_value", "min_value", "max_value")
+    return _rounded(rollup.hours(spark, branch.rollup), "avg_value", "min_value", "max_value")
 
 
 # ---- catalog tables ----------------------------------------------------------------
@@ -458,12 +460,15 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def _training_data(name: str) -> dict:
     """What the training-data queries add to ``queries`` or ``oracle_sql``, where installed."""
-    found: dict = {}
-    for module in ("gaugeflow.llm", "corpus_pipeline"):
-        if importlib.util.find_spec(module) is not None:
-            where = f"{module}.queries" if module == "gaugeflow.llm" else module
-            found |= getattr(importlib.import_module(where), name)()
-    return found
+    try:
+        operators = importlib.import_module("gaugeflow.llm.queries")
+        pipeline = importlib.import_module("corpus_pipeline")
+    except ModuleNotFoundError as missing:
+        # Anything else that is missing is an error.
+        if missing.name not in ("gaugeflow.llm", "gaugeflow.llm.queries", "corpus_pipeline"):
+            raise
+        return {}
+    return getattr(operators, name)() | getattr(pipeline, name)()
 
 
 def queries() -> dict[str, Query]:

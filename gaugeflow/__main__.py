@@ -7,13 +7,14 @@ import argparse
 from pyspark.sql import SparkSession
 
 from gaugeflow import tables
-from gaugeflow.branches import MAIN, Branch, publish
+from gaugeflow.branches import MAIN, Branch, clean, publish
 from gaugeflow.functions.clock import resolve
 from gaugeflow.plans.registry import DASHBOARDS, MODELS, run_models
 from gaugeflow.session import build_session, shared_dir
 from gaugeflow.sources.messages import TOPIC, file_messages, kafka_messages
 from gaugeflow.sources.stores import DatasetStore, TableStore, TelemetryStore
-from gaugeflow.streaming import ingest, rollup
+from gaugeflow.streaming import ingest, ledger, rollup
+from gaugeflow.streaming.triggers import TRIGGER
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -34,7 +35,7 @@ def _parser() -> argparse.ArgumentParser:
     source.add_argument("--servers", help="Kafka bootstrap servers")
     source.add_argument("--files", help="folder of envelope Parquet files")
     stream.add_argument("--topic", default=TOPIC)
-    stream.add_argument("--trigger", default=ingest.TRIGGER)
+    stream.add_argument("--trigger", default=TRIGGER)
     stream.add_argument("--once", action="store_true", help="work off what is there, then stop")
     stream.add_argument("--sink", choices=("dataset", "tables"), default="dataset")
     stream.add_argument("--min-partitions", type=int, help="least tasks that read the topic")
@@ -50,6 +51,11 @@ def _parser() -> argparse.ArgumentParser:
     push.add_argument("--since-date")
     push.add_argument("--replace", action="store_true", help="do not merge with what is there")
 
+    tidy = commands.add_parser("clean", help="remove landed batches that are published")
+    tidy.add_argument("--to", help="branch they were published to; default: the branch itself")
+    tidy.add_argument("--keep", type=int, default=2, help="versions that stay readable")
+    commands.add_parser("batches", help="what the streams have landed, by batch")
+
     for name, plans in (("run-models", MODELS), ("query", DASHBOARDS)):
         run = commands.add_parser(name)
         run.add_argument("names", nargs="*", choices=[*plans, []])
@@ -89,9 +95,10 @@ def _ingest(spark: SparkSession, branch: Branch, args: argparse.Namespace) -> No
             ingest.start_dataset_sink(
                 ingest.gate_messages(messages()), branch.landing, branch.checkpoint(),
                 trigger=trigger, write_tasks=args.write_tasks,
+                hours=branch.rollup if args.rollup else None,
             )
         ]
-    if args.rollup:
+    if args.rollup and args.sink == "tables":
         started.append(
             rollup.start_rollup(
                 ingest.gate_messages(messages()), branch.rollup, branch.checkpoint("hourly"),
@@ -118,6 +125,12 @@ def main(argv: list[str] | None = None) -> None:
         publish(
             spark, branch, target, since_date=args.since_date, replace=args.replace
         )
+    elif args.command == "clean":
+        target = Branch(branch.root, args.to, args.catalog) if args.to else branch
+        print("\n".join(clean(spark, branch, target, keep=args.keep)))
+    elif args.command == "batches":
+        rows = ledger.report(spark, branch.landing)
+        rows.orderBy("stream", "batch").show(1000, truncate=False)
     elif args.command == "run-models":
         store = _store(spark, branch, args.source)
         print("\n".join(run_models(spark, store, as_of_ms=args.as_of_ms, names=args.names or None)))

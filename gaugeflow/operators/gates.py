@@ -26,8 +26,10 @@ METHOD = "SPARK_RULES"
 SCORE_PASSED, SCORE_CONFIRMED, SCORE_SUSPECTED = 0.0, 1.0, 0.8
 
 # Partitions for event times far from the clock of the run: a device with a broken clock
-# must not open one directory per day of history or future.
-DATE_PAST, DATE_FUTURE = "0001-01-01", "9999-12-31"
+# must not open one directory per day of history or future. Events from the future share
+# one date. Events from too long ago are dated by their arrival: DATE_PAST and as many days as
+# lie between 1970 and the day they came in, which ends before PAST_END.
+DATE_PAST, PAST_END, DATE_FUTURE = "0001-01-01", "1000-01-01", "9999-12-31"
 
 
 def stream_clock() -> Column:
@@ -65,11 +67,11 @@ def anomaly_score() -> Column:
 
 
 def event_date(as_of_ms: Column, limits: TimeLimits = TimeLimits()) -> Column:
-    """Partition date: the event's UTC day, folded into two end dates outside the limits."""
+    """Partition date: the event's UTC day; outside the limits that of the arrival, or the end."""
     at = F.col("timestamp")
     return (
         F.when(at.isNull(), utc_day(as_of_ms))
-        .when(at < as_of_ms - F.lit(limits.max_age_ms).cast("bigint"), F.lit(DATE_PAST).cast("date"))
+        .when(at < as_of_ms - F.lit(limits.max_age_ms).cast("bigint"), _arrived(utc_day(as_of_ms)))
         .when(
             at > as_of_ms + F.lit(limits.max_future_ms).cast("bigint"),
             F.lit(DATE_FUTURE).cast("date"),
@@ -78,6 +80,35 @@ def event_date(as_of_ms: Column, limits: TimeLimits = TimeLimits()) -> Column:
     )
 
 
+def _arrived(day: Column) -> Column:
+    """Partition date of events from too long ago that come in on ``day``."""
+    since_1970 = F.datediff(day, F.lit("1970-01-01").cast("date"))
+    return F.date_add(F.lit(DATE_PAST).cast("date"), since_1970)
+
+
+def dates_from(since_ms: int) -> Column:
+    """Partitions that can hold events from ``since_ms`` on.
+
+    Dates grow with event time in all but the partitions of old events. An old event is older
+    than the clock it came in by, so one from ``since_ms`` on came in on its day or later;
+    partitions of earlier arrivals hold none. DATE_PAST itself has rows of any arrival.
+    """
+    date, day = F.col("event_date"), utc_day(F.lit(since_ms).cast("bigint"))
+    past = F.lit(PAST_END).cast("date")
+    old = (date < past) & ((date >= _arrived(day)) | (date == F.lit(DATE_PAST).cast("date")))
+    return ((date >= past) & (date >= day)) | old
+
+
+def far_off() -> Column:
+    """Partitions of event times far from the clock."""
+    date = F.col("event_date")
+    return (date < F.lit(PAST_END).cast("date")) | (date == F.lit(DATE_FUTURE).cast("date"))
+
+
+def is_far_off(date: str) -> bool:
+    return date < PAST_END or date == DATE_FUTURE
+
+
 def classify(
     telemetry: DataFrame,
     as_of_ms: int | Column,
@@ -135,17 +166,19 @@ def dataset_rows(
     ).select(*schemas.gated().names)
 
 
-def raw_rows(gated: DataFrame) -> DataFrame:
+def raw_rows(gated: DataFrame, *extra: str) -> DataFrame:
     """The audit copy: every row, good or bad, without verdict or envelope."""
-    return gated.select(*TELEMETRY_COLUMNS)
+    return gated.select(*TELEMETRY_COLUMNS, *extra)
 
 
-def passed_rows(gated: DataFrame) -> DataFrame:
-    return gated.filter(F.col("gate") == PASSED).select(*TELEMETRY_COLUMNS, *QUALITY_COLUMNS)
+def passed_rows(gated: DataFrame, *extra: str) -> DataFrame:
+    rows = gated.filter(F.col("gate") == PASSED)
+    return rows.select(*TELEMETRY_COLUMNS, *QUALITY_COLUMNS, *extra)
 
 
-def anomaly_rows(gated: DataFrame) -> DataFrame:
-    return gated.filter(F.col("gate") == ANOMALY).select(*TELEMETRY_COLUMNS, *QUALITY_COLUMNS)
+def anomaly_rows(gated: DataFrame, *extra: str) -> DataFrame:
+    rows = gated.filter(F.col("gate") == ANOMALY)
+    return rows.select(*TELEMETRY_COLUMNS, *QUALITY_COLUMNS, *extra)
 
 
 def rejected_rows(gated: DataFrame) -> DataFrame:

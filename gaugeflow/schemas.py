@@ -30,6 +30,8 @@ QUALITY_COLUMNS = ["quality_status", "anomaly_score", "validation_method"]
 ENVELOPE_COLUMNS = [
     "kafka_key", "topic", "partition", "offset", "kafka_timestamp", "processing_time",
 ]
+# Partition of landed rows: the stream and batch that landed them.
+LANDED = "landed"
 DEAD_LETTER_COLUMNS = [
     "value", "kafka_key", "topic", "partition", "offset", "kafka_timestamp",
     "gate", "reason", "processing_time",

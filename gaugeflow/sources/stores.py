@@ -11,8 +11,7 @@ from abc import ABC, abstractmethod
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow import schemas
-from gaugeflow.functions.clock import utc_day
+from gaugeflow import schemas, snapshots
 from gaugeflow.operators import gates
 from gaugeflow.operators.dead_letter import dead_letters
 from gaugeflow.operators.rules import LIVE, RangeRule, TimeLimits
@@ -104,10 +103,18 @@ class DatasetStore(GatedStore):
     """A gated dataset on files, partitioned by event date.
 
     The files are listed once, so that all reads of one store, such as the scans of one
-    model, see the same data; make a new store to see new files.
+    model, see the same data; make a new store to see new files. Of a published dataset this
+    is one version, the newest unless another is asked for.
     """
 
-    def __init__(self, spark: SparkSession, path: str, file_format: str = "parquet"):
+    def __init__(
+        self, spark: SparkSession, path: str, file_format: str = "parquet",
+        version: int | None = None,
+    ):
+        found = snapshots.load(spark, path, version)
+        if found is not None:
+            self._rows = snapshots.read(spark, path, found, schemas.gated())
+            return
         rows = spark.read.format(file_format).schema(schemas.gated()).load(path)
         # Landing data have a partition of their own besides.
         self._rows = rows.select(*schemas.gated().names)
@@ -115,13 +122,7 @@ class DatasetStore(GatedStore):
     def rows(self, since_ms: int | None = None) -> DataFrame:
         if since_ms is None:
             return self._rows
-        # Event dates grow with event time except in the partition for old events, so
-        # these two partition tests keep every row the time bound keeps.
-        day = utc_day(F.lit(since_ms).cast("bigint"))
-        kept = (F.col("event_date") >= day) | (
-            F.col("event_date") == F.lit(gates.DATE_PAST).cast("date")
-        )
-        return _from(self._rows.filter(kept), since_ms)
+        return _from(self._rows.filter(gates.dates_from(since_ms)), since_ms)
 
     def dead_letters(self) -> DataFrame:
         return dead_letters(self._rows)
@@ -141,7 +142,10 @@ class TableStore(TelemetryStore):
         table = f"{self._namespace}.{name}"
         # Streams replace partitions from a session of their own; drop stale file listings.
         self._spark.catalog.refreshTable(table)
-        return _from(self._spark.read.table(table).select(*columns), since_ms)
+        rows = self._spark.read.table(table)
+        if since_ms is not None:
+            rows = rows.filter(gates.dates_from(since_ms))
+        return _from(rows.select(*columns), since_ms)
 
     def raw(self, since_ms: int | None = None) -> DataFrame:
         return self._table("raw_telemetry", TELEMETRY_COLUMNS, since_ms)

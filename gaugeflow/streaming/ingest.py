@@ -11,20 +11,18 @@ from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from gaugeflow.operators import dead_letter, gates
 from gaugeflow.operators.rules import LIVE, RangeRule, TimeLimits
+from gaugeflow.schemas import LANDED
 from gaugeflow.sources.messages import parse_envelope
-
-# Fixed value: time between micro-batches.
-TRIGGER = "10 seconds"
+from gaugeflow.streaming import ledger, rollup
+from gaugeflow.streaming.triggers import TRIGGER, triggered
 
 PARTITIONS = ("event_date", "gate")
-# Partition below the others: stream and batch that landed a row.
-LANDED = "landed"
 
 
 def gate_messages(
@@ -62,6 +60,7 @@ def start_dataset_sink(
     *,
     trigger: str | None = TRIGGER,
     write_tasks: int | None = None,
+    hours: str | None = None,
 ) -> StreamingQuery:
     """Append gated rows to a Parquet dataset, each once.
 
@@ -69,68 +68,80 @@ def start_dataset_sink(
     date and gate, so reading one gate from a time on skips all other files, and below
     that by stream and batch. A replayed batch has the same rows and replaces its own
     folders, so repeating it adds nothing; there is no log of files that grows. A reader
-    sees a batch's folders as they are committed.
+    sees a batch's folders as they are committed; its entry in the ledger, with counts taken
+    while it was written, says that all are there.
+
+    With ``hours`` the batch's passed rows are then folded into the hourly aggregates at that
+    path, from the files just written.
     """
     if write_tasks:
         rows = spread_for_writing(rows, write_tasks)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # The id of the query is kept in its checkpoint: another stream has another one.
-        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        if not stream:
-            raise RuntimeError("a batch without the id of its stream")
+        spark, own = batch.sparkSession, batch_of(batch, batch_id)
+        counts = Observation()
         (
-            batch.withColumn(LANDED, F.lit(f"{stream}-{batch_id}"))
+            ledger.observed(batch.withColumn(LANDED, F.lit(own.name)), counts)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*PARTITIONS, LANDED)
             .parquet(path)
         )
+        if hours is not None and counts.get[gates.PASSED.lower()]:
+            rollup.fold_batch(spark, path, hours, own)
+        ledger.record(spark, path, own, counts.get)
 
     writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return _triggered(writer, trigger).start()
+    return triggered(writer, trigger).start()
 
 
 def start_table_sink(
     rows: DataFrame, namespace: str, checkpoint: str, *, trigger: str | None = TRIGGER
 ) -> StreamingQuery:
-    """Route gated rows into separate catalog tables, one partition per batch.
+    """Route gated rows into separate catalog tables, by event date, stream and batch.
 
     For formats or readers that need the tables apart. The batch is held while the four
-    tables are written from it, and a replayed batch replaces its own partition in each,
-    so repeating it adds nothing.
+    tables are written from it, and a replayed batch replaces its own partitions in each,
+    so repeating it adds nothing. Any number of streams can write to the same tables.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         batch.persist(StorageLevel.MEMORY_AND_DISK)
+        own = F.lit(batch_of(batch, batch_id).name)
         try:
-            for table, routed in routes(batch).items():
-                tagged = routed.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            for table, routed in routes(batch, "event_date").items():
+                tagged = routed.withColumn(LANDED, own)
                 tagged.write.mode("overwrite").insertInto(f"{namespace}.{table}")
         finally:
             batch.unpersist()
 
     writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return _triggered(writer, trigger).start()
+    return triggered(writer, trigger).start()
+
+
+def batch_of(batch: DataFrame, batch_id: int) -> ledger.Batch:
+    """The stream and number of a batch, from within the function that writes it.
+
+    The id of a stream is kept in its checkpoint, so a restart has the same one and another
+    stream another.
+    """
+    stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not stream:
+        raise RuntimeError("a batch without the id of its stream")
+    return ledger.Batch(stream, batch_id)
 
 
-def routes(gated: DataFrame) -> dict[str, DataFrame]:
+def routes(gated: DataFrame, *extra: str) -> dict[str, DataFrame]:
     """The rows of each table."""
     return {
-        "raw_telemetry": gates.raw_rows(gated),
-        "validated_telemetry": gates.passed_rows(gated),
-        "anomaly_alerts": gates.anomaly_rows(gated),
-        "dead_letter_queue": dead_letter.dead_letters(gated),
+        "raw_telemetry": gates.raw_rows(gated, *extra),
+        "validated_telemetry": gates.passed_rows(gated, *extra),
+        "anomaly_alerts": gates.anomaly_rows(gated, *extra),
+        "dead_letter_queue": dead_letter.dead_letters(gated, *extra),
     }
 
 
-def _triggered(writer: DataStreamWriter, trigger: str | None) -> DataStreamWriter:
-    if trigger is None:
-        return writer.trigger(availableNow=True)
-    return writer.trigger(processingTime=trigger)
-
-
 def wait(spark: SparkSession, queries: Sequence[StreamingQuery]) -> None:
     """Block until all streams have ended. An interrupt stops them; a failure of one stops
     the others and is raised.

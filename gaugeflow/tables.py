@@ -24,7 +24,8 @@ def create_namespace(spark: SparkSession, namespace: str, location: str | None =
 def create_tables(spark: SparkSession, namespace: str, file_format: str = "parquet") -> list[str]:
     """Create the tables that are missing, empty; returns the names of the new ones.
 
-    Partitioned by ``batch_id`` so that a replayed stream batch replaces what it wrote.
+    Partitioned by event date, so that a window skips files, and below that by stream and
+    batch, so that a replayed batch replaces what it wrote and nothing else.
     """
     create_namespace(spark, namespace)
     created = []
@@ -32,9 +33,9 @@ def create_tables(spark: SparkSession, namespace: str, file_format: str = "parqu
         table = f"{namespace}.{name}"
         if spark.catalog.tableExists(table):
             continue
-        columns = schema().add("batch_id", T.LongType())
+        columns = schema().add("event_date", T.DateType()).add(schemas.LANDED, T.StringType())
         empty = spark.createDataFrame([], columns)
-        empty.write.format(file_format).partitionBy("batch_id").saveAsTable(table)
+        empty.write.format(file_format).partitionBy("event_date", schemas.LANDED).saveAsTable(table)
         created.append(name)
     return created
 
