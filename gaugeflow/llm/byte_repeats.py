@@ -221,10 +221,11 @@ def cleaned(spark: SparkSession, documents: DataFrame) -> DataFrame:
     placed = repeats.with_segments(spark, documents)
     rows = repeats.texts_of(placed)
     folder = find_spans(spark, rows)
-    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns if c != "text"]).alias("row")
+    others = [F.col("doc")[c].alias(c) for c in documents.columns if c != "text"]
     carried = placed.select(
-        F.col("_segment").alias("segment"), F.col("doc_id").cast("long").alias("doc_id"),
-        text_or_empty().alias("text"), F.col("text").isNull().alias("no_text"), row,
+        "segment", F.col("doc.doc_id").cast("long").alias("doc_id"),
+        text_or_empty("doc.text").alias("text"), F.col("doc.text").isNull().alias("no_text"),
+        F.struct(*others).alias("row"),
     )
     carried = carried.withColumn("was_empty", F.col("text") == "")
     made = repeats.render(

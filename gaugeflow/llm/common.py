@@ -53,17 +53,18 @@ def stage(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
 
 
 def with_rows(spark: SparkSession, documents: DataFrame) -> DataFrame:
-    """``documents`` with ``_row``, a number that no other row has, the same whenever the files
-    are read."""
-    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_index")]
+    """Each row whole, as ``doc``, and ``_row``, a number that no other row has, the same
+    whenever the files are read. Columns of ``documents`` can have any name."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("doc")
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("index")]
     try:
-        placed = documents.select("*", *place)
+        placed = documents.select(whole, *place)
     except AnalysisException:  # not read from files: write it first
-        placed = stage(spark, documents, "documents").select("*", *place)
-    number = F.row_number().over(Window.orderBy("_file")).cast("long").alias("_number")
-    files = stage(spark, placed.select("_file").distinct().select("_file", number), "files")
-    row = F.shiftleft("_number", 36) + F.col("_index")
-    return placed.join(files, "_file").withColumn("_row", row).drop("_file", "_index", "_number")
+        placed = stage(spark, documents, "documents").select(whole, *place)
+    number = F.row_number().over(Window.orderBy("file")).cast("long").alias("number")
+    files = stage(spark, placed.select("file").distinct().select("file", number), "files")
+    row = F.shiftleft("number", 36) + F.col("index")
+    return placed.join(files, "file").select("doc", row.alias("_row"))
 
 
 def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
@@ -144,20 +145,6 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 BASE = 0x9E3779B97F4A7C15
-_powers: dict[str, np.ndarray] = {}
-
-
-def powers(count: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE to the powers 0, 1, 2 ... modulo 2**64, and their inverses."""
-    if len(_powers.get("up", ())) < count:
-        size = 1 << max(16, int(count).bit_length())
-        for name, base in (("up", BASE), ("down", pow(BASE, -1, 1 << 64))):
-            table = np.full(size, base, U64)
-            table[0] = 1
-            _powers[name] = np.cumprod(table, dtype=U64)
-    return _powers["up"][:count], _powers["down"][:count]
-
-
 def rolling(values: np.ndarray, width: int) -> np.ndarray:
     """Hash of ``values[i:i + width]`` for each i, by doubling; fewer values give none."""
     if len(values) < width:
@@ -178,29 +165,82 @@ def rolling(values: np.ndarray, width: int) -> np.ndarray:
     return mix(done)
 
 
+# The bytes that count of the last eight, for a span that ends within them.
+_KEPT = np.array([(1 << 8 * n) - 1 for n in range(9)], U64)
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of ``data[start:end]`` for each span; spans are in ascending order."""
+    """A 64-bit hash of ``data[start:end]`` for each span; spans are in ascending order.
+
+    Eight bytes at a time are mixed, again with their place in the span, and then summed. (The
+    sum of a polynomial modulo 2**64 would not do: over 1,024 bytes there are pairs of texts
+    for which all terms cancel, whatever the base.)
+    """
     out = np.empty(len(starts), U64)
     at = 0
     while at < len(starts):
         low = starts[at]
         stop = max(at + 1, int(np.searchsorted(ends, low + BLOCK_BYTES, "right")))
-        part = data[low : ends[stop - 1]]
-        up, down = powers(len(part) + 1)
-        sums = np.zeros(len(part) + 1, U64)
-        np.cumsum((part.astype(U64) + U64(1)) * up[:-1], out=sums[1:])
-        first, last = starts[at:stop] - low, ends[at:stop] - low
-        out[at:stop] = mix((sums[last] - sums[first]) * down[first] + (last - first).astype(U64))
+        part = np.concatenate([data[low : ends[stop - 1]], np.zeros(8, np.uint8)])
+        first, length = starts[at:stop] - low, ends[at:stop] - starts[at:stop]
+        counts = np.maximum(1, (length + 7) // 8)
+        begins = np.concatenate([[0], np.cumsum(counts)])
+        place = np.arange(begins[-1]) - np.repeat(begins[:-1], counts)
+        where = np.repeat(first, counts) + 8 * place
+        eight = part[where[:, None] + np.arange(8)].view("<u8")[:, 0]
+        eight &= _KEPT[np.minimum(np.repeat(length, counts) - 8 * place, 8)]
+        terms = mix(mix(eight) + (place.astype(U64) + U64(1)) * U64(BASE))
+        out[at:stop] = mix(np.add.reduceat(terms, begins[:-1]) + length.astype(U64))
         at = stop
     return out
 
 
+# The two largest primes below 2**31, and a base for each.
+PRIMES = ((2147483647, 1103515245), (2147483629, 1812433253))
+_prime_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _powers_modulo(prime: int, base: int, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """``base`` to the powers 0, 1, 2 ... modulo ``prime``, and their inverses."""
+    if prime not in _prime_powers or len(_prime_powers[prime][0]) < count:
+        size = 1 << max(16, int(count).bit_length())
+        tables = []
+        for factor in (base % prime, pow(base, -1, prime)):
+            table, done = np.ones(size, U64), 1
+            while done < size:
+                step = U64(pow(factor, done, prime))
+                table[done : 2 * done] = table[: min(done, size - done)] * step % U64(prime)
+                done *= 2
+            tables.append(table)
+        _prime_powers[prime] = tuple(tables)
+    up, down = _prime_powers[prime]
+    return up[:count], down[:count]
+
+
 def stretch_hashes(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of ``values[low:high]`` for each stretch; stretches may overlap."""
-    up, down = powers(len(values) + 1)
-    sums = np.zeros(len(values) + 1, U64)
-    np.cumsum((values.astype(U64) + U64(1)) * up[:-1], out=sums[1:])
-    return mix((sums[high] - sums[low]) * down[low] + (high - low).astype(U64))
+    """A hash of ``values[low:high]`` for each stretch, of 62 bits; stretches may overlap.
+
+    Two polynomials, modulo two primes, so that no arrangement of values makes terms cancel.
+    """
+    length = (high - low).astype(U64)
+    out = length * U64(BASE)
+    if not len(low):
+        return mix(out)
+    first, last = int(low.min()), int(high.max())
+    values = values[first:last]
+    small = values.dtype == np.uint8 and len(values) < 1 << 24
+    for prime, base in PRIMES:
+        p = U64(prime)
+        up, down = _powers_modulo(prime, base, len(values) + 1)
+        terms = (values.astype(U64) + U64(1)) * up[:-1] if small else (
+            (values.astype(U64) % p + U64(1)) * up[:-1] % p
+        )
+        # Below 2**64: of bytes there are fewer than 2**24, of other values each is below 2**31.
+        sums = np.zeros(len(values) + 1, U64)
+        np.cumsum(terms, out=sums[1:])
+        own = (sums[high - first] - sums[low - first]) % p * down[low - first] % p
+        out = mix(out) + own
+    return mix(out)
 
 
 def sums_by_row(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:

@@ -59,8 +59,8 @@ class QualityModel:
 def fit(texts: pa.Array, labels: np.ndarray, settings: Settings) -> QualityModel:
     """Gradient descent over one document at a time, the rate falling to zero.
 
-    Classes weigh alike in the loss; the bias is then set back to their true shares, so that
-    0.5 remains the point where either class is as likely.
+    Classes weigh alike in the loss, whatever their shares, so 0.5 is where a text speaks for
+    either class as much.
     """
     draw = np.random.default_rng(settings.seed)
     rows = features.counted(texts, settings.bits)

@@ -31,13 +31,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def vocabulary() -> packing.Vocabulary:
-    """The rank file of the vocabulary; GAUGEFLOW_VOCABULARY names another."""
-    path = os.environ.get("GAUGEFLOW_VOCABULARY")
-    if not path:
-        import public_tokenizers
-
-        path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return packing.Vocabulary(path)
+    """Both forms of the vocabulary; GAUGEFLOW_VOCABULARY names the path of another, less the
+    endings .tiktoken and .json."""
+    stem = os.environ.get("GAUGEFLOW_VOCABULARY")
+    if stem:
+        return packing.Vocabulary(f"{stem}.tiktoken", f"{stem}.json")
+    import public_tokenizers
+
+    names = ("byte_bpe_50k.tiktoken", "byte_bpe_50k.json")
+    return packing.Vocabulary(*map(public_tokenizers.path, names))
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -84,21 +84,25 @@ def window_anchors(symbols: np.ndarray, first: np.ndarray, group: int):
 
 
 def with_segments(spark: SparkSession, documents: DataFrame) -> DataFrame:
-    """``documents`` with ``_segment``, the same for a row whenever the files are read."""
+    """Each row whole, as ``doc``, and its ``segment``, the same whenever the files are read.
+
+    Columns of ``documents`` can have any name.
+    """
+    whole = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("doc")
     place = F.xxhash64(
         F.col("_metadata.file_path"), F.floor(F.col("_metadata.row_index") / SEGMENT_ROWS)
-    ).alias("_segment")
+    ).alias("segment")
     try:
-        return documents.select("*", place)
+        return documents.select(whole, place)
     except AnalysisException:  # not read from files: write it first
-        return stage(spark, documents, "documents").select("*", place)
+        return stage(spark, documents, "documents").select(whole, place)
 
 
 def texts_of(rows: DataFrame) -> DataFrame:
     """(segment, doc_id, text) of rows with segments; null text is empty."""
     return rows.select(
-        F.col("_segment").alias("segment"), F.col("doc_id").cast("long").alias("doc_id"),
-        text_or_empty().alias("text"),
+        "segment", F.col("doc.doc_id").cast("long").alias("doc_id"),
+        text_or_empty("doc.text").alias("text"),
     )
 
 

@@ -3,7 +3,9 @@
 Categories are predicted one after another. The model of a category sees the words of a text
 (and the beginnings of words, for languages that inflect) and the probabilities of all earlier
 categories. In training those probabilities are out-of-fold predictions, so a later model
-learns from inputs as uncertain as those that it meets in use.
+learns from inputs as uncertain as those that it meets in use. The verdict is the last
+category, toxic, which is fed by those of its higher degrees. Where the degrees are read off
+the training rows themselves, a fold reads them off its own rows only.
 
 A word counts once in a text however long the text is, and an L1 penalty leaves weights only
 to words that tell the categories apart; the model is a short list of hashes and weights.
@@ -14,6 +16,7 @@ batches over whole texts in the tasks that scan them.
 from __future__ import annotations
 
 import io
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -144,34 +147,45 @@ def telling(rows, keys, labels: np.ndarray, settings: Settings) -> np.ndarray:
     return np.sort(distinct[best[surprise[best] > 3]])
 
 
-def degrees(rows, keys, whole, labels: np.ndarray) -> np.ndarray:
-    """Labels of rising degree for data that only say toxic or not: any, at least 2, at least
-    4 different words that only toxic rows have."""
+def degrees(rows, keys, whole, labels: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Labels of falling degree for data that only say toxic or not: at least 4 different
+    words that only toxic rows have, at least 2, any.
+
+    Those words are told by the rows that are ``known``.
+    """
     words, place = np.unique(keys[whole], return_inverse=True)
-    counts = np.bincount(place, minlength=len(words))
-    hits = np.bincount(place, labels[rows[whole]], len(words))
+    at, own = rows[whole], known[rows[whole]]
+    counts = np.bincount(place[own], minlength=len(words))
+    hits = np.bincount(place[own], labels[at[own]], len(words))
     abusive = (counts >= 8) & (hits == counts)
-    number = np.bincount(rows[whole], abusive[place], len(labels))
-    return np.stack([labels, labels * (number >= 2), labels * (number >= 4)])
+    number = np.bincount(at, abusive[place], len(labels))
+    return np.stack([labels * (number >= 4), labels * (number >= 2), labels])
 
 
-def fit(names, targets: np.ndarray, rows, keys, settings: Settings) -> ChainModel:
-    """A chain over ``targets`` (categories x rows) in the order given."""
-    count = targets.shape[1]
-    chosen = telling(rows, keys, targets.max(axis=0), settings)
+def fit(
+    names, targets: Callable[[np.ndarray], np.ndarray], labels: np.ndarray, rows, keys,
+    settings: Settings,
+) -> ChainModel:
+    """A chain in the order of ``names``; ``targets`` gives categories x rows by what the rows
+    of a mask tell."""
+    count = len(labels)
+    every = np.ones(count, bool)
+    chosen = telling(rows, keys, labels, settings)
     at = np.searchsorted(chosen, keys)
     known = (at < len(chosen)) & (chosen[np.minimum(at, len(chosen) - 1)] == keys) if len(chosen) else np.zeros(len(keys), bool)
     ones = Matrix(rows[known], at[known], (count, len(chosen)))
     fold = np.arange(count) % settings.folds
+    folds = [(fold != f, fold == f) for f in range(settings.folds)]
+    within = [targets(inner).astype(float) for inner, _ in folds]
+    whole = targets(every).astype(float)
     earlier = np.zeros((count, 0))
     weights, links, biases = [], np.zeros((len(names), len(names))), []
-    for number, labels in enumerate(targets.astype(float)):
+    for number in range(len(names)):
         held = np.zeros(count)
-        for f in range(settings.folds):
-            inner, outer = fold != f, fold == f
-            w, l, b = sparse_regression(ones.only(inner), earlier[inner], labels[inner], settings)
+        for (inner, outer), own in zip(folds, within):
+            w, l, b = sparse_regression(ones.only(inner), earlier[inner], own[number][inner], settings)
             held[outer] = sigmoid(ones.only(outer).times(w) + earlier[outer] @ l + b)
-        w, l, b = sparse_regression(ones, earlier, labels, settings)
+        w, l, b = sparse_regression(ones, earlier, whole[number], settings)
         weights.append(w)
         links[number, :number] = l
         biases.append(b)
@@ -181,7 +195,7 @@ def fit(names, targets: np.ndarray, rows, keys, settings: Settings) -> ChainMode
     return ChainModel(list(names), chosen[used], weights[:, used], links, np.array(biases))
 
 
-DEGREES = ("toxic", "repeated", "severe")
+DEGREES = ("severe", "repeated", "toxic")
 
 
 def train(
@@ -198,8 +212,8 @@ def train(
         known = table.column("label").to_numpy().astype(float)
         data, bounds = flat(table.column("text").combine_chunks())
         rows, keys, whole = word_keys(data, bounds)
-        targets = degrees(rows, keys, whole, known)
-        return fit(DEGREES, targets, rows, keys, settings).to_bytes()
+        targets = lambda mask: degrees(rows, keys, whole, known, mask)
+        return fit(DEGREES, targets, known, rows, keys, settings).to_bytes()
 
     sample = features.labelled_sample(documents, labels, label, sample_rows)
     data = features.fit_in_a_task(sample, run)

@@ -32,6 +32,8 @@ def documents(spark, odd_rows, tmp_path_factory):
     base = spark.read.parquet(f"{DATA}/documents.parquet").select(*SCHEMA_COLUMNS)
     rows = base.union(spark.createDataFrame(odd_rows, SCHEMA)).withColumns(
         {"label": F.lit("x"), "segment": F.lit(1), "_key": F.lit(2.5), "kept": F.lit(True)}
+        # Names that operators have used for what they add.
+        | {c: F.lit(-7) for c in ("_row", "_file", "_index", "_number", "_segment", "row", "doc")}
     )
     rows.repartition(3).write.parquet(path)
     return spark.read.parquet(path)

@@ -493,6 +493,90 @@ def test_models_without_labels(spark, documents, labels, nothing):
     assert toxicity.score(documents, chain, ["doc_id"]).filter("p_toxic != 0.5").count() == 0
 
 
+# ---- rows and texts out of the ordinary ----------------------------------------------
+
+
+def balanced(first, second, count=1024):
+    """``count`` parts in the order in which polynomials modulo 2**64 cancel, and swapped."""
+    turns = [bin(i).count("1") % 2 for i in range(count)]
+    return [(first, second)[t] for t in turns], [(second, first)[t] for t in turns]
+
+
+def test_no_order_of_equal_parts_deceives_the_hashes(spark):
+    """Lines, words and passages of two symbols each, and the same with the symbols swapped."""
+    one, other = ("".join(x) for x in balanced("a", "b"))
+    data = np.frombuffer(f"{one}\n{other}\n{one} {other} tail".encode(), np.uint8)
+    counts = quality_rules.base_counts(data, np.array([0, len(data)]))
+    assert counts["n_dup_lines"].tolist() == [0]
+    words = f"{one} b c d e {other} b c d e"
+    data = np.frombuffer(words.encode(), np.uint8)
+    assert quality_rules.base_counts(data, np.array([0, len(data)]))["n_repeat_words"].tolist() == [0]
+    filler = " ".join(f"w{i}" for i in range(49))
+    long_one, long_other = (" ".join(x) for x in balanced("aa", "bb"))
+    rows = [(1, f"{filler} {one} x"), (2, f"{filler} {other} y"), (3, f"q {filler} {one} z"),
+            (4, long_one), (5, long_other), (6, long_one + " end")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in word_repeats.remove_repeats(spark, frame).collect()}
+    byte = {r.doc_id: r for r in byte_repeats.remove_repeats(spark, frame).collect()}
+    for unit, found, size in ((str.split, got, 50), (str.encode, byte, 50)):
+        seen = {}
+        for number, text in rows:
+            parts = unit(text)
+            gone = [False] * len(parts)
+            for i in range(len(parts) - size + 1):
+                window = tuple(parts[i : i + size])
+                if seen.setdefault(window, number) < number:
+                    gone[i : i + size] = [True] * size
+            assert found[number].n_removed == sum(gone), number
+
+
+def test_rows_without_an_id_come_back(spark, labels):
+    """Null and repeated ids, null and empty texts: every row is in every result."""
+    text = " ".join(f"plain{i} words" for i in range(40))
+    rows = [(None, text), (None, text), (None, None), (1, None), (1, ""), (1, text), (2, text + " x"),
+            (None, "\n" * 300_000 + "end"), (3, " " * 1_100_000 + "b")]
+    frame = spark.createDataFrame(
+        [(i, t, "en", "src0", 1) for i, t in rows],
+        "doc_id long, text string, lang string, source string, n_chars long",
+    )
+    ids = sorted((i for i, _ in rows), key=repr)
+    same = lambda frame: sorted((r.doc_id for r in frame.collect()), key=repr)
+    pieces = packing.pack_documents(spark, frame, queries.vocabulary())
+    assert same(pieces.filter("piece = 0")) == ids
+    assert same(byte_repeats.remove_repeats(spark, frame)) == ids
+    assert same(word_repeats.remove_repeats(spark, frame)) == ids
+    assert same(near_duplicates.classes(spark, frame)) == ids
+    assert same(fingerprints.edit_check(spark, frame)) == ids
+    model = quality_classifier.train(frame, labels)
+    assert same(quality_classifier.score(frame, model, ["doc_id"])) == ids
+    assert same(quality_rules.judge(frame, quality_rules.train(frame, labels), ["doc_id"])) == ids
+    assert same(toxicity.score(frame, toxicity.train(frame, labels), ["doc_id"])) == ids
+
+
+def test_blanks_in_a_row_are_encoded(spark):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    words = queries.vocabulary()
+    for text in ("a" + " " * 2_000_000 + "b", "\n \t" * 500_000, "x" * 150_000 + " " * 99_999 + "y"):
+        expected = tokenizer.encode(text, add_special_tokens=False).ids
+        assert words.encode(text).tolist() == expected
+
+
+def test_toxicity_is_the_last_link(larger):
+    """The verdict sees the probabilities of higher degrees, and targets know no held-out row."""
+    documents, labels = larger
+    model = toxicity.train(documents, labels)
+    assert model.names[-1] == "toxic" and model.links[-1, :-1].any()
+    texts = ["vile awful text", "vile awful again", "kind words"] * 20
+    data = np.frombuffer(" ".join(texts).encode(), np.uint8)
+    bounds = np.cumsum([0] + [len(t) + 1 for t in texts])
+    bounds[-1] = len(data)
+    rows, keys, whole = toxicity.word_keys(data, bounds)
+    toxic = np.array([1.0, 1.0, 0.0] * 20)
+    told = toxicity.degrees(rows, keys, whole, toxic, np.ones(60, bool))
+    assert told.sum(axis=1).tolist() == [0, 40, 40]
+    assert toxicity.degrees(rows, keys, whole, toxic, np.arange(60) < 3).sum(axis=1).tolist() == [0, 0, 40]
+
+
 # ---- helpers -----------------------------------------------------------------------
 
 
