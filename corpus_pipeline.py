@@ -41,13 +41,15 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Rows with the same doc_id and different texts are told apart like any others.
     """
     rows = with_rows(spark, docs)
-    texts = rows.select(F.col("_row").alias("doc_id"), "text")
+    texts = rows.select(F.col("_row").alias("doc_id"), F.col("doc.text").alias("text"))
     named = near_duplicates.classes(spark, texts).withColumnRenamed("doc_id", "_row")
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    first = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64(*columns), "_row")
+    columns = [F.col("doc")[c] for c in docs.columns]
+    first = F.struct(
+        F.col("doc.doc_id").isNull(), "doc.doc_id", F.xxhash64(*columns), "_row"
+    )
     ranks = rows.select("_row", first.alias("_first"))
     best = named.join(ranks, "_row").groupBy("class_id").agg(F.min("_first").alias("_first"))
-    return rows.join(best.select("_first._row"), "_row").select(*columns)
+    return rows.join(best.select("_first._row"), "_row").select("doc.*")
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,8 +61,9 @@ def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each copy of a document that the mix takes; a copy taken in part is whole."""
     rows = with_rows(spark, docs)
-    chosen = mixing.mix_rows(spark, rows, carried=("_row",)).select("_row")
-    return rows.join(chosen, "_row").select(*[F.col(f"`{c}`") for c in docs.columns])
+    read = rows.select(*[F.col("doc")[c].alias(c) for c in ("doc_id", "text", "lang", "source")], "_row")
+    chosen = mixing.mix_rows(spark, read, carried=("_row",)).select("_row")
+    return rows.join(chosen, "_row").select("doc.*")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -76,7 +79,7 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-# Learned scores and sampled signatures have no SQL form; tests hold stages to brute force.
+# Learned scores and sampled signatures have no SQL form; tests hold each stage to brute force.
 ORACLE_SQL = None
 
 
