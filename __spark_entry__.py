@@ -7,6 +7,7 @@ covers the 30 days of the data.
 
 from __future__ import annotations
 
+import dataclasses
 import functools
 import importlib
 import os
@@ -24,12 +25,12 @@ from gaugeflow.branches import Branch, publish
 from gaugeflow.functions.clock import DAY_MS, HOUR_MS
 from gaugeflow.operators import contract, dead_letter, gates, sensors
 from gaugeflow.operators.rules import LIVE, TimeLimits, out_of_range, out_of_time
-from gaugeflow.plans import dashboards, device_models, energy_models
+from gaugeflow.plans import dashboards, device_models, energy_models, incremental
 from gaugeflow.plans.registry import run_models
 from gaugeflow.session import shared_dir
 from gaugeflow.sources import events, messages
 from gaugeflow.sources.stores import DatasetStore, EventsStore, FrameStore, TableStore
-from gaugeflow.streaming import ingest, rollup
+from gaugeflow.streaming import ingest, ledger, rollup
 
 AS_OF = events.AS_OF_MS
 WIDE = 720 * HOUR_MS
@@ -178,6 +179,29 @@ def q_contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contract.contract_violations(_messages(spark, sf_dir, faulty=True))
 
 
+def _next_contract() -> tuple[contract.Field, ...]:
+    """The contract as a later version could have it."""
+    kept = {
+        f: f for f in contract.CONTRACT
+        if f.path not in ("metadata.error", "readings.power_factor")
+    }
+    for field in kept:
+        if field.path == "metadata.firmware_version":
+            kept[field] = dataclasses.replace(field, optional=False)
+        elif field.path == "metadata.battery_level":
+            kept[field] = dataclasses.replace(field, kinds=("BIGINT", "DECIMAL", "DOUBLE"))
+        elif field.path == "device_type":
+            kept[field] = dataclasses.replace(field, values=(*field.values, "co2_sensor"))
+    humid = contract.Field("readings.humidity", ("BIGINT", "DECIMAL", "DOUBLE"), "pressure_sensor")
+    return (*kept.values(), humid)
+
+
+def q_contract_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a later contract changes, and how many of the messages at hand each change meets."""
+    sent = _messages(spark, sf_dir, faulty=True)
+    return contract.version_impact(sent, contract.CONTRACT, _next_contract())
+
+
 # ---- projections and filters -------------------------------------------------------
 
 
@@ -449,6 +473,37 @@ def q_materialised_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, found)
 
 
+def _incremental(name: str) -> Query:
+    """A model refreshed after each of several deliveries, never from scratch."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        branch = _scratch(spark)
+        sent = f"{branch.root}/messages"
+        delivery = F.pmod(F.col("offset"), F.lit(3)).cast("int").alias("delivery")
+        messages_ = _messages(spark, sf_dir).select("*", delivery)
+        for number in range(3):
+            arrived = messages_.filter(F.col("delivery") == number).drop("delivery")
+            arrived.write.mode("append").parquet(sent)
+            ingest.start_dataset_sink(
+                ingest.gate_messages(messages.file_messages(spark, sent), AS_OF, LIVE, LIMITS),
+                branch.landing, branch.checkpoint(), trigger=None, write_tasks=4,
+            ).awaitTermination()
+            incremental.refresh(spark, branch, name, buckets=8)
+        return incremental.result(spark, branch, name)
+
+    return run
+
+
+def q_batch_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the ledger says was landed, summed over the batches."""
+    report = ledger.report(spark, _landed(spark, sf_dir).landing)
+    counts = [c for c in report.columns if c not in ("stream", "batch", "first_ms", "last_ms")]
+    return report.agg(
+        *[F.sum(c).alias(c) for c in counts],
+        F.min("first_ms").alias("first_ms"), F.max("last_ms").alias("last_ms"),
+    )
+
+
 # ---- contract ----------------------------------------------------------------------
 
 
@@ -487,6 +542,7 @@ def queries() -> dict[str, Query]:
         "q_raw_audit": q_raw_audit,
         "q_dead_letter": q_dead_letter,
         "q_contract_violations": q_contract_violations,
+        "q_contract_versions": q_contract_versions,
         "q_map_extract": q_map_extract,
         "q_trailing_window": q_trailing_window,
         "q_distinct_struct": q_distinct_struct,
@@ -524,6 +580,9 @@ def queries() -> dict[str, Query]:
         "q_stream_hourly_aggregates": q_stream_hourly_aggregates,
         "q_table_sink_routes": q_table_sink_routes,
         "q_materialised_models": q_materialised_models,
+        "q_incremental_summary": _incremental("device_summary_simple"),
+        "q_incremental_latest": _incremental("device_metrics_latest"),
+        "q_batch_report": q_batch_report,
     }
     return own | _training_data("queries")
 

@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 from gaugeflow import tables
 from gaugeflow.branches import MAIN, Branch, clean, publish
 from gaugeflow.functions.clock import resolve
+from gaugeflow.plans.incremental import KEYED_MODELS, refresh
 from gaugeflow.plans.registry import DASHBOARDS, MODELS, run_models
 from gaugeflow.session import build_session, shared_dir
 from gaugeflow.sources.messages import TOPIC, file_messages, kafka_messages
@@ -54,6 +55,8 @@ def _parser() -> argparse.ArgumentParser:
     tidy = commands.add_parser("clean", help="remove landed batches that are published")
     tidy.add_argument("--to", help="branch they were published to; default: the branch itself")
     tidy.add_argument("--keep", type=int, default=2, help="versions that stay readable")
+    merge = commands.add_parser("refresh", help="merge newly landed batches into keyed models")
+    merge.add_argument("names", nargs="*", choices=[*KEYED_MODELS, []])
     commands.add_parser("batches", help="what the streams have landed, by batch")
 
     for name, plans in (("run-models", MODELS), ("query", DASHBOARDS)):
@@ -128,6 +131,9 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "clean":
         target = Branch(branch.root, args.to, args.catalog) if args.to else branch
         print("\n".join(clean(spark, branch, target, keep=args.keep)))
+    elif args.command == "refresh":
+        for name in args.names or KEYED_MODELS:
+            print(name, refresh(spark, branch, name))
     elif args.command == "batches":
         rows = ledger.report(spark, branch.landing)
         rows.orderBy("stream", "batch").show(1000, truncate=False)

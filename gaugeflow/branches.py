@@ -115,7 +115,7 @@ def landed_rows(spark: SparkSession, landing: str) -> DataFrame:
     return spark.read.schema(schema).parquet(landing).select(*schema.names)
 
 
-def _up_to(marks: dict[str, int]) -> Column:
+def up_to(marks: dict[str, int]) -> Column:
     """Rows of batches that are not beyond the marks; a test on partitions alone."""
     stream = F.substring_index(LANDED, "-", 5)
     number = F.substring_index(LANDED, "-", -1).cast("bigint")
@@ -156,16 +156,15 @@ def publish(
     target = target or source
     before = snapshots.load(spark, target.published) or snapshots.Snapshot()
     known = {} if replace else before.marks
-    batches = [b for b in ledger.landed(spark, source.landing) if b.number > known.get(b.stream, -1)]
-    marks = {b.stream: max(o.number for o in batches if o.stream == b.stream) for b in batches}
+    marks = ledger.beyond(spark, source.landing, known)
     landing = landed_rows(spark, source.landing)
     unnumbered = not landing.filter(F.col(LANDED).isNull()).isEmpty()
-    new = F.col(LANDED).isNull() | (_up_to(marks) & ~_up_to(known))
+    new = F.col(LANDED).isNull() | (up_to(marks) & ~up_to(known))
     fresh = landing.filter(new)
     if since_date is not None:
         recent = F.col("event_date") >= F.lit(since_date).cast("date")
         fresh = fresh.filter(recent | far_off())
-    if not batches and not unnumbered:
+    if not marks and not unnumbered:
         return DatasetStore(spark, target.published)
     audit(fresh)
     if len(marks) + unnumbered > 1:
@@ -212,7 +211,7 @@ def clean(
     done = [b for b in ledger.landed(spark, source.landing) if b.number <= now.marks.get(b.stream, -1)]
     if done:
         if snapshots.names_in(spark, source.landing):
-            landing = landed_rows(spark, source.landing).filter(_up_to(now.marks))
+            landing = landed_rows(spark, source.landing).filter(up_to(now.marks))
             published = snapshots.read(spark, target.published, now, gated())
             if not _compared(landing, published, "left_anti").isEmpty():
                 raise AuditError("landed messages that are not published")

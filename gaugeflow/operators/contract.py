@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeflow.functions.once import evaluated_once
+from gaugeflow.operators.rules import DECLARED
 
 MISSING, NULL, MISTYPED, UNREADABLE = "missing", "null", "mistyped", "unreadable"
 UNKNOWN = "unknown"
@@ -38,13 +39,12 @@ _WHOLE = ("BIGINT",)
 _NUMBER = ("BIGINT", "DECIMAL", "DOUBLE")
 _OBJECT = ("OBJECT",)
 
-# The metrics each device type reports, required and optional fields.
+# The metrics each device type reports are those with a declared range.
 METRICS = {
-    "temperature_sensor": ("temperature", "humidity"),
-    "pressure_sensor": ("pressure", "temperature"),
-    "vibration_sensor": ("vibration_x", "vibration_y", "vibration_z", "temperature"),
-    "energy_meter": ("voltage", "current", "power", "power_factor"),
+    kind: tuple(rule.metric for rule in DECLARED if rule.device_type == kind)
+    for kind in dict.fromkeys(rule.device_type for rule in DECLARED)
 }
+# Required and optional fields.
 REQUIRED = (
     Field("event_id", _TEXT),
     Field("device_id", _TEXT),
@@ -159,3 +159,89 @@ def contract_violations(
         .groupBy("device_type", "field", "violation")
         .agg(F.count("*").alias("message_count"))
     )
+
+
+@dataclass(frozen=True)
+class Change:
+    """What a contract version changes about a field.
+
+    It breaks *backward* if messages that the old version allows can be broken by the new one,
+    *forward* if messages that the new one allows can be broken by the old one.
+    """
+
+    path: str
+    device_type: str | None
+    change: str
+    backward: bool = False
+    forward: bool = False
+
+
+def compare(old: tuple[Field, ...], new: tuple[Field, ...]) -> list[Change]:
+    """Every difference of two contract versions, by field.
+
+    Fields that a version does not name are not written by its producers, so adding an
+    optional field, or no longer naming one, breaks nothing.
+    """
+    key = lambda field: (field.path, field.device_type)
+    before, after = ({key(field): field for field in contract} for contract in (old, new))
+    changes = []
+    for path, kind in dict.fromkeys([*before, *after]):
+        was, now = before.get((path, kind)), after.get((path, kind))
+        if was is None:
+            changes.append(Change(path, kind, "added", backward=not now.optional))
+        elif now is None:
+            changes.append(Change(path, kind, "removed", forward=not was.optional))
+        else:
+            changes.extend(_differences(path, kind, was, now))
+    return changes
+
+
+def _differences(path: str, kind: str | None, was: Field, now: Field) -> list[Change]:
+    found = []
+    if was.optional != now.optional:
+        told = "made optional" if now.optional else "made required"
+        found.append(Change(path, kind, told, backward=was.optional, forward=now.optional))
+    for name, old, new in (("types", was.kinds, now.kinds), ("values", was.values, now.values)):
+        # No values listed means that all are allowed.
+        lost = bool(new) and (not old or not set(old) <= set(new))
+        gained = bool(old) and (not new or not set(new) <= set(old))
+        if lost or gained:
+            told = "changed" if lost and gained else "narrowed" if lost else "widened"
+            found.append(Change(path, kind, f"{name} {told}", backward=lost, forward=gained))
+    return found
+
+
+def readable(old: tuple[Field, ...], new: tuple[Field, ...]) -> str:
+    """How two versions go together: both, backward, forward or none."""
+    changes = compare(old, new)
+    backward = not any(c.backward for c in changes)
+    forward = not any(c.forward for c in changes)
+    return {(True, True): "both", (True, False): "backward", (False, True): "forward"}.get(
+        (backward, forward), "none"
+    )
+
+
+def version_impact(
+    messages: DataFrame, old: tuple[Field, ...], new: tuple[Field, ...]
+) -> DataFrame:
+    """One row per change, with the messages that violate the field under either version.
+
+    Each version is checked for its changed fields only, in one pass over the messages.
+    """
+    changes = compare(old, new)
+    spark = messages.sparkSession
+    places = {(c.path, c.device_type) for c in changes}
+    rows = spark.createDataFrame(
+        [(c.path, c.device_type, c.change, c.backward, c.forward) for c in changes],
+        "field string, kind string, change string, breaks_backward boolean, breaks_forward boolean",
+    )
+    for name, contract in (("old_violations", old), ("new_violations", new)):
+        checked = tuple(f for f in contract if (f.path, f.device_type) in places)
+        typed = sorted({f.path for f in checked if f.device_type is not None})
+        kind = F.when(F.col("field").isin(*typed), F.col("device_type")).alias("_kind")
+        counts = violations(messages, checked).groupBy(F.col("field").alias("_field"), kind).agg(
+            F.count("*").alias(name)
+        )
+        same = (F.col("field") == F.col("_field")) & F.col("kind").eqNullSafe(F.col("_kind"))
+        rows = rows.join(counts, same, "left").drop("_field", "_kind").fillna(0, [name])
+    return rows

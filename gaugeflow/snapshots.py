@@ -132,16 +132,19 @@ def read(
 
 def change(
     spark: SparkSession, path: str, before: Snapshot, rows: DataFrame, replaced: Collection[str],
-    marks: dict[str, int],
+    marks: dict[str, int], by: str = DAY,
 ) -> Snapshot:
-    """Commit ``rows``: days in ``replaced`` have them alone, others have them in addition."""
+    """Commit ``rows``: days in ``replaced`` have them alone, others have them in addition.
+
+    A dataset can have other parts than days, by the values of column ``by``.
+    """
     version = before.version + 1
     name = f"version={version:012d}-{uuid.uuid4().hex}"
-    rows.write.partitionBy(DAY).parquet(f"{path}/{name}")
+    rows.write.partitionBy(by).parquet(f"{path}/{name}")
     days = {day: folders for day, folders in before.days.items() if day not in replaced}
     for folder in names_in(spark, f"{path}/{name}"):
-        if folder.startswith(f"{DAY}="):
-            day = folder.removeprefix(f"{DAY}=")
+        if folder.startswith(f"{by}="):
+            day = folder.removeprefix(f"{by}=")
             days[day] = [*days.get(day, []), f"{name}/{folder}"]
     after = Snapshot(version, days, before.marks | marks)
     commit(spark, path, after)

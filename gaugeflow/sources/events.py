@@ -133,8 +133,8 @@ def to_messages(events: DataFrame, faulty: bool = False) -> DataFrame:
     """Every event as a message in the envelope of a topic with three partitions.
 
     With ``faulty`` some producers are broken: of each 89 events one is cut off, one has
-    text where a time and a map belong, one carries its metric outside ``readings`` and
-    one lacks its ids.
+    text where a time and a map belong, one carries its metric outside ``readings``, one
+    lacks its ids and one has metadata of the wrong types.
     """
     rows = to_telemetry(events, position=True)
     value = message_text()
@@ -157,10 +157,16 @@ def _faulty(text: Column, fault: Column) -> Column:
     )
     misplaced = F.struct(*ids, "timestamp", F.lit(25.0).alias("temperature"))
     unnamed = F.struct("device_id", "timestamp", "readings")
+    metadata = F.struct(
+        F.lit("unknown").alias("location"), F.lit("low").alias("battery_level"),
+        F.lit(1).alias("anomaly_detected"),
+    )
+    garbled = F.struct(*ids, "timestamp", "readings", metadata.alias("metadata"))
     return (
         F.when(fault == 0, F.substring(text, F.lit(1), F.length(text) - 3))
         .when(fault == 1, F.to_json(mistyped))
         .when(fault == 2, F.to_json(misplaced))
         .when(fault == 3, F.to_json(unnamed))
+        .when(fault == 4, F.to_json(garbled))
         .otherwise(text)
     )

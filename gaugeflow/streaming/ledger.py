@@ -65,6 +65,15 @@ def landed(spark: SparkSession, landing: str) -> list[Batch]:
     return [Batch.of(n.removesuffix(".json")) for n in names if n.endswith(".json")]
 
 
+def beyond(spark: SparkSession, landing: str, known: dict[str, int]) -> dict[str, int]:
+    """Of streams with batches that are not ``known`` yet, the last one."""
+    marks: dict[str, int] = {}
+    for batch in landed(spark, landing):
+        if batch.number > known.get(batch.stream, -1):
+            marks[batch.stream] = max(batch.number, marks.get(batch.stream, -1))
+    return marks
+
+
 def report(spark: SparkSession, landing: str) -> DataFrame:
     """One row per batch: rows, rows by gate, least and greatest event time."""
     parts = []

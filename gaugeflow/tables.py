@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from gaugeflow import schemas
 
+_VERSION = re.compile(r"__v[0-9a-f]{32}")
+
 TABLES = {
     "raw_telemetry": schemas.telemetry,
     "validated_telemetry": schemas.quality,
@@ -41,6 +46,11 @@ def create_tables(spark: SparkSession, namespace: str, file_format: str = "parqu
 
 
 def list_tables(spark: SparkSession, namespace: str) -> list[str]:
+    """Names of tables, of materialised ones without their versions."""
+    return [name for name in _all_tables(spark, namespace) if not _VERSION.search(name)]
+
+
+def _all_tables(spark: SparkSession, namespace: str) -> list[str]:
     rows = spark.sql(f"SHOW TABLES IN {namespace}").filter("NOT isTemporary").select("tableName")
     return sorted(row.tableName for row in rows.collect())
 
@@ -53,19 +63,42 @@ def drop_tables(spark: SparkSession, namespace: str) -> None:
 def materialise(rows: DataFrame, table: str, file_format: str = "parquet") -> None:
     """Replace a table by a query's result.
 
-    The result is written whole before it takes the table's name, so a failed run leaves the
-    table as it was. A table of a named catalog is replaced by that catalog in one step.
+    The result is written whole as a new version; then the view that has the table's name is
+    pointed at it, which is one statement of the catalog. Readers find the old version or the
+    new one, at any time. A run that dies leaves the view as it was; what it has written is
+    removed by the next one. The version before stays, for readers that have begun. A table of
+    a named catalog is replaced by that catalog in one step.
     """
     namespace, _, name = table.rpartition(".")
     if "." in namespace:
         rows.writeTo(table).using(file_format).createOrReplace()
         return
     spark = rows.sparkSession
-    fresh, former = f"{namespace}.{name}__new", f"{namespace}.{name}__old"
-    spark.sql(f"DROP TABLE IF EXISTS {fresh}")
-    rows.write.format(file_format).saveAsTable(fresh)
-    spark.sql(f"DROP TABLE IF EXISTS {former}")
-    if spark.catalog.tableExists(table):
-        spark.sql(f"ALTER TABLE {table} RENAME TO {former}")
-    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
-    spark.sql(f"DROP TABLE IF EXISTS {former}")
+    now = _current(spark, namespace, name)
+    fresh = f"{name}__v{uuid.uuid4().hex}"
+    rows.write.format(file_format).saveAsTable(f"{namespace}.{fresh}")
+    if now is None and spark.catalog.tableExists(table):
+        # Made before tables had versions: it becomes one, once.
+        now = f"{name}__v{uuid.uuid4().hex}"
+        spark.sql(f"ALTER TABLE {table} RENAME TO {namespace}.{now}")
+    _point(spark, table, f"{namespace}.{fresh}")
+    _drop_versions(spark, namespace, name, {fresh, now})
+
+
+def _point(spark: SparkSession, view: str, version: str) -> None:
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {version}")
+
+
+def _current(spark: SparkSession, namespace: str, name: str) -> str | None:
+    """The version that a materialised table shows."""
+    if not spark.catalog.tableExists(f"{namespace}.{name}"):
+        return None
+    told = spark.sql(f"DESCRIBE TABLE EXTENDED {namespace}.{name}").filter("col_name = 'View Text'")
+    found = [_VERSION.search(row.data_type) for row in told.select("data_type").collect()]
+    return f"{name}{found[0][0]}" if found and found[0] else None
+
+
+def _drop_versions(spark: SparkSession, namespace: str, name: str, kept: set) -> None:
+    for other in _all_tables(spark, namespace):
+        if re.fullmatch(re.escape(name) + _VERSION.pattern, other) and other not in kept:
+            spark.sql(f"DROP TABLE IF EXISTS {namespace}.{other}")

@@ -267,6 +267,9 @@ def _contract() -> str:
         "select device_type, 'timestamp', 'mistyped' from f where fault=1",
         "select device_type, 'readings', 'mistyped' from f where fault=1",
         "select device_type, 'readings', 'missing' from f where fault=2",
+        "select device_type, 'metadata.location', 'mistyped' from f where fault=4",
+        "select device_type, 'metadata.battery_level', 'mistyped' from f where fault=4",
+        "select device_type, 'metadata.anomaly_detected', 'mistyped' from f where fault=4",
     ]
     for kind, names in metrics.items():
         for i, name in enumerate(names):
@@ -280,6 +283,29 @@ def _contract() -> str:
 select device_type, field, violation, count(*) message_count from ({union}) x group by 1,2,3"""
 
 
+def _versions() -> str:
+    count = lambda test: f"(select count(*) from f where {test})"
+    meter = count(
+        "device_type='energy_meter' and fault not in (0,3) and (fault in (1,2) or rk<>'FULL')"
+    )
+    changes = [
+        ("device_type", None, "values widened", 0, 1, count("fault=3"), count("fault=3")),
+        ("metadata.firmware_version", None, "made required", 1, 0, "0", count("fault in (1,2,3,4)")),
+        ("metadata.battery_level", None, "types widened", 0, 1, count("fault=4"), count("fault=4")),
+        ("metadata.error", None, "removed", 0, 0, "0", "0"),
+        ("readings.power_factor", "energy_meter", "removed", 0, 1, meter, "0"),
+        ("readings.humidity", "pressure_sensor", "added", 1, 0, "0",
+         count("device_type='pressure_sensor' and fault not in (0,3)")),
+    ]
+    rows = " union all ".join(
+        f"select '{field}' as field, {repr(kind) if kind else 'cast(null as varchar)'} as kind, "
+        f"'{change}' as change, {backward}=1 as breaks_backward, {forward}=1 as breaks_forward, "
+        f"{old} as old_violations, {new} as new_violations"
+        for field, kind, change, backward, forward, old, new in changes
+    )
+    return f"{_faulty()} {rows}"
+
+
 DECLARED = [
     ("temperature_sensor", "temperature", 18, 25), ("temperature_sensor", "humidity", 30, 60),
     ("pressure_sensor", "pressure", 1000, 1020), ("pressure_sensor", "temperature", 15, 30),
@@ -390,6 +416,7 @@ def oracle_sql() -> dict[str, str]:
           cast(u%3 as int) as partition, eid as "offset", ts_ms as kafka_ms, gate, reason,
           true as has_value from f where gate in ('SCHEMA','INDETERMINATE')""",
         "q_contract_violations": _contract(),
+        "q_contract_versions": _versions(),
         "q_map_extract": _map_extract(),
         "q_trailing_window": f"""{base} select device_type, """
         + ", ".join(
@@ -465,5 +492,16 @@ def oracle_sql() -> dict[str, str]:
           gate, count(*) row_count from f group by 1,2""",
         "q_stream_hourly_aggregates": _hourly("true"),
         "q_table_sink_routes": _table_routes(),
+        "q_batch_report": f"""{_faulty()} select count(*) row_count,
+          count(*) filter (where gate='PASSED') passed,
+          count(*) filter (where gate='ANOMALY') anomaly,
+          count(*) filter (where gate='INDETERMINATE') indeterminate,
+          count(*) filter (where gate='SCHEMA') "schema",
+          min(case when fault not in (0,1) then ts_ms end) first_ms,
+          max(case when fault not in (0,1) then ts_ms end) last_ms from f""",
+    }
+    return found | {
+        "q_materialised_models": _models(found),
+        "q_incremental_summary": found["q_device_summary"],
+        "q_incremental_latest": found["q_device_metrics_latest"],
     }
-    return found | {"q_materialised_models": _models(found)}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import json
 
 import pytest
@@ -58,3 +59,44 @@ def test_messages_that_are_no_object(spark):
     got = sorted((r.field, r.violation) for r in contract.violations(rows).collect())
     missing = [(f.path, "missing") for f in contract.REQUIRED]
     assert got == sorted([("$", "unreadable")] * 2 + missing)
+
+
+A, B = contract.Field("a", ("STRING",)), contract.Field("b", ("BIGINT",), values=("1", "2"))
+
+
+def changed(field, **to):
+    return dataclasses.replace(field, **to)
+
+
+@pytest.mark.parametrize("old, new, found, together", [
+    ((A,), (A,), [], "both"),
+    ((A,), (A, B), [("b", "added", True, False)], "forward"),
+    ((A,), (A, changed(B, optional=True)), [("b", "added", False, False)], "both"),
+    ((A, B), (A,), [("b", "removed", False, True)], "backward"),
+    ((A, changed(B, optional=True)), (A,), [("b", "removed", False, False)], "both"),
+    ((A,), (changed(A, optional=True),), [("a", "made optional", False, True)], "backward"),
+    ((changed(A, optional=True),), (A,), [("a", "made required", True, False)], "forward"),
+    ((A,), (changed(A, kinds=("STRING", "BIGINT")),), [("a", "types widened", False, True)], "backward"),
+    ((A,), (changed(A, kinds=("BIGINT",)),), [("a", "types changed", True, True)], "none"),
+    ((B,), (changed(B, values=("1",)),), [("b", "values narrowed", True, False)], "forward"),
+    ((B,), (changed(B, values=()),), [("b", "values widened", False, True)], "backward"),
+    ((changed(B, values=()),), (B,), [("b", "values narrowed", True, False)], "forward"),
+    ((B,), (changed(B, values=("2", "3"), optional=True),), [
+        ("b", "made optional", False, True), ("b", "values changed", True, True),
+    ], "none"),
+])
+def test_versions(old, new, found, together):
+    got = [(c.path, c.change, c.backward, c.forward) for c in contract.compare(old, new)]
+    assert got == found and contract.readable(old, new) == together
+
+
+def test_a_break_shows_in_messages(spark):
+    """What breaks backward is violated by old messages under the new version only."""
+    texts = [json.dumps({"a": "x", "b": 1}), json.dumps({"a": "x"}), json.dumps({"a": 3})]
+    rows = spark.createDataFrame([(t,) for t in texts], "value string")
+    optional = changed(B, optional=True)
+    got = contract.version_impact(rows, (A, optional), (changed(A, kinds=("STRING", "BIGINT")), B))
+    assert sorted(map(tuple, got.collect()), key=repr) == [
+        ("a", None, "types widened", False, True, 1, 0),
+        ("b", None, "made required", True, False, 0, 2),
+    ]

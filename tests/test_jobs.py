@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from gaugeflow import __main__ as cli
 from gaugeflow import session, tables
 from gaugeflow.branches import Branch
+from gaugeflow.plans import incremental
 from gaugeflow.plans.registry import DASHBOARDS, MODELS, run_models
 from gaugeflow.sources import events
 from gaugeflow.sources.messages import encode, file_messages, kafka_messages, parse_envelope
-from gaugeflow.sources.stores import EventsStore
+from gaugeflow.sources.stores import DatasetStore, EventsStore
+from gaugeflow.streaming import rollup
 from oracle import canonical
 
 
@@ -45,6 +47,38 @@ def test_a_failed_refresh_leaves_the_table(spark):
     assert tables.list_tables(spark, "refresh_test") == ["kept"]
 
 
+def test_a_refresh_that_dies_at_any_step(spark, monkeypatch):
+    """Readers find the table at every step, and the next refresh clears up."""
+    tables.create_namespace(spark, "steps_test")
+    tables.materialise(spark.range(2), "steps_test.t")
+    count = lambda: spark.read.table("steps_test.t").count()
+
+    def dies(*_):
+        assert count() == 2
+        raise RuntimeError("killed")
+
+    for step in ("_point", "_current"):
+        with monkeypatch.context() as patched:
+            patched.setattr(tables, step, dies)
+            with pytest.raises(RuntimeError, match="killed"):
+                tables.materialise(spark.range(5), "steps_test.t")
+        assert count() == 2
+    with monkeypatch.context() as patched:
+        seen = []
+        patched.setattr(tables, "_drop_versions", lambda *_: seen.append(count()))
+        tables.materialise(spark.range(6), "steps_test.t")
+        assert seen == [6]
+    tables.materialise(spark.range(7), "steps_test.t")
+    assert count() == 7
+    assert tables.list_tables(spark, "steps_test") == ["t"]
+    assert len(tables._all_tables(spark, "steps_test")) == 3  # view, version, the one before
+    # A plain table of the name, from before, becomes the first version.
+    spark.range(4).write.saveAsTable("steps_test.plain")
+    tables.materialise(spark.range(9), "steps_test.plain")
+    tables.materialise(spark.range(10), "steps_test.plain")
+    assert spark.read.table("steps_test.plain").count() == 10
+
+
 @pytest.fixture
 def restored(spark):
     """The command line sets session defaults; undo them for the tests that follow."""
@@ -64,10 +98,16 @@ def test_command_line(spark, tiny, tmp_path, capsys, restored):
     cli.main([*root, "list-tables"])
     assert "validated_telemetry" in capsys.readouterr().out
     cli.main([*root, "ingest", "--files", str(inbox), "--once", "--rollup"])
+    cli.main([*root, "refresh"])
     cli.main([*root, "publish"])
     branch = Branch(str(tmp_path / "data"), "try-out")
     assert spark.read.parquet(branch.landing).count() == 1000
     assert spark.read.parquet(branch.published).count() == 1000
+    assert rollup.hours(spark, branch.rollup).count() >= 0
+    assert incremental.result(spark, branch, "device_summary_simple").columns
+    cli.main([*root, "batches"])
+    cli.main([*root, "clean"])
+    assert DatasetStore(spark, branch.published).rows().count() == 1000
     cli.main([*root, "ingest", "--files", str(inbox), "--once", "--sink", "tables"])
     cli.main([*root, "query", "data_quality", *at, "--source", "tables"])
     cli.main([*root, "run-models", "device_metrics_latest", *at])
