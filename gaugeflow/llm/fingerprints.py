@@ -120,20 +120,24 @@ def bucket(key: Column, bounds: list[int]) -> Column:
     return F.when(before == 0, 0).otherwise((before - 1) * step + found)
 
 
-def with_next(spark: SparkSession, rows: DataFrame, columns: list[str]) -> DataFrame:
+def with_next(
+    spark: SparkSession, rows: DataFrame, columns: list[str], ids: DataFrame | None = None
+) -> DataFrame:
     """``rows`` with ``next_<column>`` of the row after it by doc_id; after the last, the first.
 
     Rows are dealt into ranges of ids of even size, several for each partition. The first row
     of a range is also sent to the range before it, as a guest that only serves as the next
     row. Rows without an id come first; rows of equal id follow in the order of ``columns``.
-    A single row is its own next. No rows give no rows.
+    A single row is its own next. No rows give no rows. ``ids`` has the same ``doc_id`` where
+    ``rows`` are costly to make: the ranges are cut from it.
     """
     least = -(1 << 63)
-    keyed = rows.withColumn("_key", F.coalesce(F.col("doc_id").cast("long"), F.lit(least)))
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(least)).alias("_key")
+    keyed = rows.select("*", key)
     count = 8 * shuffle_partitions(spark)
     shares = [i / count for i in range(1, count)]
     # A sketch of bounded size: the ids that part the table evenly.
-    found = keyed.agg(
+    found = (rows if ids is None else ids).select(key).agg(
         F.percentile_approx("_key", shares, 10 * count).alias("bounds"),
         F.min("_key").alias("first"),
     ).first()
@@ -164,7 +168,7 @@ def edit_check(spark: SparkSession, documents: DataFrame) -> DataFrame:
     beginning of the next document, or all it has. Null text counts as empty.
     """
     rows = documents.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
-    rows = with_next(spark, with_bits(rows, "text", "bits"), ["text", "bits"])
+    rows = with_next(spark, with_bits(rows, "text", "bits"), ["text", "bits"], documents)
     n_chars = F.char_length("text")
     quarter = F.floor(n_chars / 4).cast("int")
     edited = F.concat(
