@@ -34,12 +34,23 @@ def symbols(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def suffix_order(text: np.ndarray) -> np.ndarray:
-    """Starts of suffixes in order of their first 56 symbols; past the end come zeros."""
-    part = np.concatenate([text, np.zeros(64, np.uint8)]).astype(U64)
+    """Starts of suffixes in order of their first 64 symbols; past the end come zeros.
+
+    Ranks by eight symbols give those by 16, 32 and 64.
+    """
+    part = np.concatenate([text, np.zeros(72, np.uint8)]).astype(U64)
     for width in (1, 2, 4):
         part = part[: len(part) - width] << U64(8 * width) | part[width:]
-    keys = [part[at : at + len(text)] for at in range(48, -1, -8)]
-    return np.lexsort(keys)
+    keys, far = part[: len(text) + 64], 8
+    while True:
+        order = np.argsort(keys)
+        if far == 64:
+            return order[order < len(text)]
+        ordered = keys[order]
+        ranks = np.zeros(len(keys) + far, U64)
+        ranks[order[1:]] = np.cumsum(ordered[1:] != ordered[:-1])
+        keys = ranks[: len(keys)] << U64(32) | ranks[far:]
+        far *= 2
 
 
 def window_classes(text: np.ndarray, order: np.ndarray, least: int) -> np.ndarray:
@@ -49,27 +60,29 @@ def window_classes(text: np.ndarray, order: np.ndarray, least: int) -> np.ndarra
     transform = text[order - 1]
     column = np.argsort(transform, kind="stable")
     lead = transform[column]
-    step = np.empty(count, np.int64)
+    step = np.empty(count, np.int32)
     step[column] = np.arange(count)
     known = np.zeros(count + 1, bool)
     known[[0, count]] = True
-    interval = np.zeros(count, np.int64)
+    # Only the rows of intervals that go on are looked at.
+    rows, interval = np.arange(count), np.zeros(count, np.int32)
+    inside, source = np.zeros(count, bool), np.empty(count, np.int32)
     for _ in range(least):
-        live = np.flatnonzero(interval >= 0)
-        if not len(live):
+        if not len(rows):
             break
-        moved = np.full(count, -1, np.int64)
-        moved[step[live]] = interval[live]
-        inside = moved >= 0
-        cut = np.ones(count + 1, bool)
-        cut[1:-1] = (moved[1:] != moved[:-1]) | (lead[1:] != lead[:-1])
-        begins = inside & cut[:-1]
-        ends = np.flatnonzero(inside & cut[1:]) + 1
+        moved = step[rows]
+        inside[moved], source[moved] = True, interval
+        rows = np.flatnonzero(inside)
+        inside[rows] = False
+        came, first = source[rows], lead[rows]
+        cut = np.ones(len(rows) + 1, bool)
+        cut[1:-1] = (np.diff(rows) > 1) | (came[1:] != came[:-1]) | (first[1:] != first[:-1])
+        ends = rows[cut[1:]] + 1
         fresh = ~known[ends]
         known[ends] = True
-        number = np.cumsum(begins) - 1
-        interval = np.where(inside, number, -1)
-        interval[inside] = np.where(fresh[number[inside]], number[inside], -1)
+        number = np.cumsum(cut[:-1], dtype=np.int32) - 1
+        live = fresh[number]
+        rows, interval = rows[live], number[live]
     return np.cumsum(known[:count]) - 1
 
 
@@ -183,10 +196,12 @@ def find_spans(spark: SparkSession, rows: DataFrame) -> str:
 def digests(data: np.ndarray, bounds: np.ndarray, gone) -> dict[str, pa.Array]:
     rows = []
     for i, size in enumerate(np.diff(bounds).tolist()):
-        cut = gone(i, size)
-        kept = data[bounds[i] : bounds[i + 1]][~cut].tobytes()
-        runs = int(np.count_nonzero(np.diff(cut.astype(np.int8), prepend=0) > 0))
-        rows.append((size, int(cut.sum()), runs, hashlib.sha256(kept).hexdigest()))
+        kept, cut = data[bounds[i] : bounds[i + 1]], gone(i, size)
+        removed, runs = int(np.count_nonzero(cut)), 0
+        if removed:
+            kept = kept[~cut]
+            runs = int(cut[0]) + int(np.count_nonzero(cut[1:] & ~cut[:-1]))
+        rows.append((size, removed, runs, hashlib.sha256(kept.tobytes()).hexdigest()))
     names = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
     return dict(zip(names, map(pa.array, zip(*rows))))
 

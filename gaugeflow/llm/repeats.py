@@ -27,6 +27,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs, parquet
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -402,6 +403,25 @@ def span_files(
     return side_files(spark, spans.union(copies.select("segment", "doc_id", "mark", none)), "spans")
 
 
+NOTHING = (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def spans_by_document(known: pa.Table | None) -> dict:
+    """First windows and their ends by (doc_id, mark), of what ``span_files`` wrote for a
+    segment; None for a copy."""
+    if known is None:
+        return {}
+    found = known.column("found").combine_chunks()
+    starts, ends = (pc.list_flatten(found).field(i).to_numpy().astype(np.int64) for i in (0, 1))
+    lengths = pc.fill_null(pc.list_value_length(found), -1).to_numpy()
+    bounds = np.concatenate([[0], np.cumsum(np.maximum(lengths, 0))])
+    keys = zip(known.column("doc_id").to_pylist(), known.column("mark").to_pylist())
+    return {
+        key: (starts[a:b], ends[a:b]) if n >= 0 else None
+        for key, n, a, b in zip(keys, lengths.tolist(), bounds[:-1], bounds[1:])
+    }
+
+
 def render(rows: DataFrame, folder: str, columns: list[str], cut, told: str) -> DataFrame:
     """``columns`` of all rows, and what ``cut(data, bounds, gone)`` makes of each block.
 
@@ -412,18 +432,16 @@ def render(rows: DataFrame, folder: str, columns: list[str], cut, told: str) ->
         now, spans = None, {}
         for segment, block in by_segment(batches):
             if segment != now:
-                now, spans = segment, {}
-                known = side_rows(folder, segment, ["doc_id", "mark", "found"])
-                if known is not None:
-                    spans = {(r["doc_id"], r["mark"]): r["found"] for r in known.to_pylist()}
+                now = segment
+                spans = spans_by_document(side_rows(folder, segment, ["doc_id", "mark", "found"]))
             data, bounds = flat(block.column("text"))
             doc_ids = block.column("doc_id").to_pylist()
 
             def gone(row: int, count: int) -> np.ndarray:
-                found = spans.get((doc_ids[row], mark(data, bounds, row)), [])
+                found = spans.get((doc_ids[row], mark(data, bounds, row)), NOTHING)
                 if found is None:
-                    found = [{"a": 0, "b": count - WINDOW + 1}] if count >= WINDOW else []
-                return covered_symbols(found, count)
+                    return np.full(count, count >= WINDOW)
+                return covered_symbols(*found, count)
 
             made = cut(data, bounds, gone)
             arrays = [block.column(c) for c in columns] + list(made.values())
@@ -434,11 +452,13 @@ def render(rows: DataFrame, folder: str, columns: list[str], cut, told: str) ->
     return rows.mapInArrow(run, kept + told)
 
 
-def covered_symbols(found: list[dict], count: int) -> np.ndarray:
-    """Which of a document's ``count`` symbols lie in one of the windows found."""
-    change = np.zeros(count + 1, np.int64)
-    starts = np.array([f["a"] for f in found], np.int64)
-    ends = np.array([f["b"] for f in found], np.int64) + WINDOW - 1
-    np.add.at(change, starts, 1)
-    np.add.at(change, ends, -1)
-    return np.cumsum(change[:-1]) > 0
+def covered_symbols(starts: np.ndarray, ends: np.ndarray, count: int) -> np.ndarray:
+    """Which of a document's ``count`` symbols lie in a window of ``starts`` to ``ends``."""
+    covered = np.zeros(count, bool)
+    if len(starts):
+        order = np.argsort(starts)
+        starts, reach = starts[order], np.maximum.accumulate(ends[order]) + WINDOW - 1
+        apart = np.flatnonzero(starts[1:] > reach[:-1])
+        for a, b in zip(starts[[0, *(apart + 1)]], reach[[*apart, -1]]):
+            covered[a:b] = True
+    return covered
