@@ -217,15 +217,28 @@ def _powers_modulo(prime: int, base: int, count: int) -> tuple[np.ndarray, np.nd
     return up[:count], down[:count]
 
 
+# Symbols that stretches hashed together begin in; the tables of powers need little more.
+STRETCH_SYMBOLS = 1 << 16
+
+
 def stretch_hashes(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """A hash of ``values[low:high]`` for each stretch, of 62 bits; stretches may overlap.
+    """A hash of ``values[low:high]`` for each stretch, of 62 bits; stretches may overlap and
+    are in order of ``low``.
 
     Two polynomials, modulo two primes, so that no arrangement of values makes terms cancel.
     """
+    out = np.empty(len(low), U64)
+    at = 0
+    while at < len(low):
+        stop = int(np.searchsorted(low, low[at] + STRETCH_SYMBOLS))
+        out[at:stop] = _hashed_together(values, low[at:stop], high[at:stop])
+        at = stop
+    return out
+
+
+def _hashed_together(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     length = (high - low).astype(U64)
     out = length * U64(BASE)
-    if not len(low):
-        return mix(out)
     first, last = int(low.min()), int(high.max())
     values = values[first:last]
     small = values.dtype == np.uint8 and len(values) < 1 << 24
