@@ -169,8 +169,10 @@ def rolling(values: np.ndarray, width: int) -> np.ndarray:
 _KEPT = np.array([(1 << 8 * n) - 1 for n in range(9)], U64)
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of ``data[start:end]`` for each span; spans are in ascending order.
+def span_hashes(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0
+) -> np.ndarray:
+    """A 64-bit hash, by seed, of ``data[start:end]`` for each span; spans are in ascending order.
 
     Eight bytes at a time are mixed, again with their place in the span, and then summed. (The
     sum of a polynomial modulo 2**64 would not do: over 1,024 bytes there are pairs of texts
@@ -189,7 +191,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         where = np.repeat(first, counts) + 8 * place
         eight = part[where[:, None] + np.arange(8)].view("<u8")[:, 0]
         eight &= _KEPT[np.minimum(np.repeat(length, counts) - 8 * place, 8)]
-        terms = mix(mix(eight) + (place.astype(U64) + U64(1)) * U64(BASE))
+        terms = mix(mix(eight ^ U64(seed)) + (place.astype(U64) + U64(1)) * U64(BASE))
         out[at:stop] = mix(np.add.reduceat(terms, begins[:-1]) + length.astype(U64))
         at = stop
     return out

@@ -187,6 +187,35 @@ def test_word_repeats_equal_brute_force(spark, documents, texts):
     assert got == [(d, n, r, sha) for d, n, r, _, sha in expected]
 
 
+def test_repeated_words_are_compared_at_their_source(spark):
+    """A hash that takes all words for one, under the first seed, removes nothing wrong."""
+
+    def blind(data, bounds, seed):
+        values, first = word_repeats.words(data, bounds, seed)
+        return (values * 0 if seed == 0 else values), first
+
+    passage = [f"p{i}" for i in range(700)]
+    rows = [
+        (1, " ".join(f"a{i}" for i in range(90))), (2, " ".join(f"b{i}" for i in range(90))),
+        (3, "x " + " ".join(passage)), (4, "\n" + " \t ".join(passage[100:600]) + "\x0b end"),
+        (5, "\r\n".join(passage[:80] + ["gap"] + passage[300:420])), (6, " ".join(passage[90:150])),
+        (6, " ".join(passage[90:149]) + " other"), (7, "ab " * 400), (8, "ab  " * 300 + "z"),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = repeated(rows, WORD.findall, lambda words: " ".join(words).encode())
+    names = ("doc_id", "n_words", "n_removed", "kept_sha256")
+    for symbols in (blind, word_repeats.words):
+        found = word_repeats.remove_repeats(spark, frame, symbols).select(*names)
+        assert sorted(map(tuple, found.collect())) == [(d, n, r, sha) for d, n, r, _, sha in expected]
+
+    def always_blind(data, bounds, seed):
+        values, first = word_repeats.words(data, bounds, seed)
+        return values * 0, first
+
+    with pytest.raises(RuntimeError, match="differ from their sources"):
+        word_repeats.remove_repeats(spark, frame, always_blind)
+
+
 def test_cleaned_keeps_columns_and_drops_emptied_documents(spark, documents):
     rows = byte_repeats.cleaned(spark, documents)
     assert rows.columns == documents.columns
