@@ -88,19 +88,27 @@ def mean_weights(
     return total / np.maximum(count, 1)
 
 
-def counted(texts: pa.Array, bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each row its distinct feature ids and the share each has of all features."""
-    data, bounds = flat(texts)
-    ids, rows = [], []
-    for found, at in features(data, bounds, bits):
-        ids.append(found)
-        rows.append(row_of(at, np.arange(len(found))))
-    keys = np.concatenate(rows).astype(np.int64) << 32 | np.concatenate(ids).astype(np.int64)
-    keys, counts = np.unique(keys, return_counts=True)
-    at = np.searchsorted(keys >> 32, np.arange(len(bounds)))
+def counted(
+    texts: pa.Array, bits: int, kind: type = np.float64
+) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each row its distinct feature ids and the share each has of all features.
+
+    A block of texts at a time: a feature takes many times the memory of its byte of text until
+    it is counted, and only the counts are kept.
+    """
     out = []
-    for a, b in zip(at[:-1], at[1:]):
-        out.append(((keys[a:b] & 0xFFFFFFFF).astype(np.int32), counts[a:b] / max(1, counts[a:b].sum())))
+    for block in blocks([pa.record_batch([texts], names=["text"])]):
+        data, bounds = flat(block.column("text"))
+        ids, rows = [], []
+        for found, at in features(data, bounds, bits):
+            ids.append(found)
+            rows.append(row_of(at, np.arange(len(found))))
+        keys = np.concatenate(rows).astype(np.int64) << 32 | np.concatenate(ids).astype(np.int64)
+        keys, counts = np.unique(keys, return_counts=True)
+        at = np.searchsorted(keys >> 32, np.arange(len(bounds)))
+        for a, b in zip(at[:-1], at[1:]):
+            share = counts[a:b] / max(1, counts[a:b].sum())
+            out.append(((keys[a:b] & 0xFFFFFFFF).astype(np.int32), share.astype(kind)))
     return out
 
 

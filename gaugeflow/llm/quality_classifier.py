@@ -63,7 +63,7 @@ def fit(texts: pa.Array, labels: np.ndarray, settings: Settings) -> QualityModel
     either class as much.
     """
     draw = np.random.default_rng(settings.seed)
-    rows = features.counted(texts, settings.bits)
+    rows = features.counted(texts, settings.bits, np.float32)
     vectors = draw.uniform(-1, 1, (1 << settings.bits, settings.dimensions)) / settings.dimensions
     vectors = vectors.astype(np.float32)
     output, bias = np.zeros((2, settings.dimensions), np.float32), np.zeros(2, np.float32)
@@ -76,7 +76,6 @@ def fit(texts: pa.Array, labels: np.ndarray, settings: Settings) -> QualityModel
             ids, share = rows[i]
             if not len(ids):
                 continue
-            share = share.astype(np.float32)
             hidden = share @ vectors[ids]
             scores = output @ hidden + bias
             odds = np.exp(scores - scores.max())

@@ -5,17 +5,20 @@ import hashlib
 import itertools
 import math
 import re
+import tracemalloc
 import zlib
 
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from gaugeflow.llm import (
     byte_repeats,
+    features,
     fingerprints,
     mixing,
     near_duplicates,
@@ -522,6 +525,21 @@ def test_models_without_labels(spark, documents, labels, nothing):
     assert toxicity.score(documents, chain, ["doc_id"]).filter("p_toxic != 0.5").count() == 0
 
 
+def test_features_are_counted_in_little_memory():
+    """Training holds what a block of texts takes, and the counts: not what all texts take."""
+    odd = ["", None, "one", "one one", "a" * 3_000_000, "b c " * 400_000, "\u00e9t\u00e9 " * 10, None]
+    texts = pa.array(odd + [f"row {i} of plain words " * 1_000 for i in range(400)], pa.string())
+    tracemalloc.start()
+    got = features.counted(texts, 17)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30 * sum(len(t or "") for t in texts.to_pylist())
+    assert len(got) == len(texts)
+    for i in [*range(len(odd)), 100, 407]:
+        (ids, shares), = features.counted(texts.slice(i, 1), 17)
+        assert got[i][0].tolist() == ids.tolist() and got[i][1].tolist() == shares.tolist()
+
+
 # ---- rows and texts out of the ordinary ----------------------------------------------
 
 
